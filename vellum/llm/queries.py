@@ -6,15 +6,34 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from vellum.llm import decontam, langid, simhash, tokens
 from vellum.llm.common import read
-from vellum.llm.simhash import near_duplicates
+
+TOKENIZER = "word_bpe_49k.json"
+
+
+def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(read(spark, sf_dir, "documents"))
+
+
+def op4_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contained(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op7_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return tokens.token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(read(spark, sf_dir, "documents"))
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_langid": op1_langid,
+    "op4_decontam": op4_decontam,
+    "op7_tokens": op7_tokens,
     "op10_simhash": op10_simhash,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_decontam": decontam.ORACLE}
