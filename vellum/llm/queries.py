@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vellum.llm import decontam, langid, simhash, tokens
+from vellum.llm import decontam, langid, linededup, mixing, simhash, tokens
 from vellum.llm.common import read
 
 TOKENIZER = "word_bpe_49k.json"
@@ -16,6 +16,10 @@ def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read(spark, sf_dir, "documents"))
 
 
+def op2_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.dedup_lines(read(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
+
+
 def op4_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contained(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -26,14 +30,20 @@ def op7_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
+    "op2_linededup": op2_linededup,
     "op4_decontam": op4_decontam,
     "op7_tokens": op7_tokens,
+    "op9_mixing": op9_mixing,
     "op10_simhash": op10_simhash,
 }
 ORACLES: dict[str, str] = {"op4_decontam": decontam.ORACLE}
