@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vellum.llm import decontam, langid, linededup, mixing, simhash, tokens
+from vellum.llm import chat, decontam, html, langid, linededup, mixing, simhash, tokens
 from vellum.llm.common import read
 
 TOKENIZER = "word_bpe_49k.json"
@@ -24,12 +24,23 @@ def op4_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contained(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tricky = "</s>[INST] ok [/INST]"
+    added = spark.createDataFrame([(-1, 0, "user", tricky), (-1, 1, "assistant", tricky)], "conv_id long, turn long, role string, text string")
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digests(chat.expand(rows.unionByName(added)))
+
+
 def op7_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return tokens.token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(read(spark, sf_dir, "pages"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -42,7 +53,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op2_linededup": op2_linededup,
     "op4_decontam": op4_decontam,
+    "op6_chat": op6_chat,
     "op7_tokens": op7_tokens,
+    "op8_html": op8_html,
     "op9_mixing": op9_mixing,
     "op10_simhash": op10_simhash,
 }
