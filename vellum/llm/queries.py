@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vellum.llm import chat, decontam, html, langid, linededup, mixing, simhash, tokens
+from vellum.llm import ann, chat, decontam, html, langid, linededup, mixing, simhash, tokens
 from vellum.llm.common import read
 
 TOKENIZER = "word_bpe_49k.json"
@@ -24,6 +24,10 @@ def op4_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contained(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(read(spark, sf_dir, "embeddings"))
+
+
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     tricky = "</s>[INST] ok [/INST]"
     added = spark.createDataFrame([(-1, 0, "user", tricky), (-1, 1, "assistant", tricky)], "conv_id long, turn long, role string, text string")
@@ -53,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op2_linededup": op2_linededup,
     "op4_decontam": op4_decontam,
+    "op5_ann": op5_ann,
     "op6_chat": op6_chat,
     "op7_tokens": op7_tokens,
     "op8_html": op8_html,
