@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vellum.llm import ann, chat, decontam, html, langid, linededup, mixing, simhash, tokens
+from vellum.llm import ann, chat, decontam, html, langid, linededup, mixing, simhash, suffix, tokens
 from vellum.llm.common import read
 
 TOKENIZER = "word_bpe_49k.json"
@@ -20,6 +20,10 @@ def op2_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_lines(read(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op3_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(read(spark, sf_dir, "documents"))
+
+
 def op4_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contained(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -56,6 +60,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op2_linededup": op2_linededup,
+    "op3_suffix": op3_suffix,
     "op4_decontam": op4_decontam,
     "op5_ann": op5_ann,
     "op6_chat": op6_chat,
