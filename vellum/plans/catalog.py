@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from vellum.plans import filters, scalars  # noqa: F401  registers
+from vellum.plans.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
