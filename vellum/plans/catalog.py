@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vellum.plans import filters, joins, scalars  # noqa: F401  registers
+from vellum.plans import aggregates, filters, joins, scalars, sequences  # noqa: F401  registers
 from vellum.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
