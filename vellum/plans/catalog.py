@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vellum.plans import aggregates, filters, joins, scalars, search, sequences  # noqa: F401  registers
+from vellum.plans import aggregates, filters, hygiene, joins, scalars, search, sequences, surfaces  # noqa: F401  registers
 from vellum.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
