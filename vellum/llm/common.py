@@ -53,6 +53,14 @@ def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def light_side(df: DataFrame, column: str, limit: int = 48 << 20) -> DataFrame:
+    """Mark a materialised table for broadcast if its rows and the bytes in the array ``column`` are counted and few."""
+    kind = df.schema[column].dataType.elementType.typeName()
+    each = (lambda s, x: s + F.length(x)) if kind in ("binary", "string") else (lambda s, x: s + F.lit(8))
+    rows, size = df.agg(F.count("*"), F.sum(F.aggregate(column, F.lit(0).cast("long"), each))).first()
+    return F.broadcast(df) if rows * 48 + (size or 0) <= limit else df
+
+
 def drop_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """docs without those whose doc_id is in the materialised ``ids``; null ids stay."""
     return docs.join(small_side(ids.select("doc_id").distinct()), "doc_id", "left_anti").select(docs.columns)
