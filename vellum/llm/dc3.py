@@ -22,6 +22,25 @@ def _names(t: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, int]:
     return name, int(new.sum())
 
 
+def _keys(chars: list[tuple[np.ndarray, np.ndarray]], ranks: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """One number for each of two lists of (characters, rank), in the order of those."""
+    one, two = np.zeros(len(ranks[0]), np.int64), np.zeros(len(ranks[1]), np.int64)
+    bits = 0
+    for a, b in [*chars, ranks]:
+        width = int(max(a.max(initial=0), b.max(initial=0))).bit_length()
+        bits += width
+        if bits > 62:  # number the values so far anew
+            distinct = np.unique(np.concatenate([one, two]))
+            one, two = np.searchsorted(distinct, one), np.searchsorted(distinct, two)
+            if width > 40:
+                values = np.unique(np.concatenate([a, b]))
+                a, b = np.searchsorted(values, a), np.searchsorted(values, b)
+                width = len(values).bit_length()
+            bits = len(distinct).bit_length() + width
+        one, two = one << width | a, two << width | b
+    return one, two
+
+
 def suffix_array(text: np.ndarray) -> np.ndarray:
     """Starts of the suffixes of ``text`` (whole numbers >= 1) in order.
 
@@ -43,22 +62,11 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     sampled = sampled[sampled < n]
     rest = np.arange(0, n, 3)
     rest = rest[np.lexsort((rank[rest + 1], t[rest]))]
-    low, high = np.zeros(len(rest), np.int64), np.full(len(rest), len(sampled))
-    b0, b1, r1, r2 = t[rest], t[rest + 1], rank[rest + 1], rank[rest + 2]
-    for _ in range(int(len(sampled)).bit_length() + 1):  # where each of the rest goes among the sampled
-        open_ = low < high
-        if not open_.any():
-            break
-        mid = np.minimum((low + high) >> 1, len(sampled) - 1)
-        a = sampled[mid]
-        a0, a1 = t[a], t[a + 1]
-        by_one = rank[a + 1] < r1
-        by_two = (a1 < b1) | (a1 == b1) & (rank[a + 2] < r2)
-        less = (a0 < b0) | (a0 == b0) & np.where(a % 3 == 1, by_one, by_two)
-        low = np.where(open_ & less, mid + 1, low)
-        high = np.where(open_ & ~less, mid, high)
+    places = np.arange(len(rest))
+    for step in (1, 2):  # a suffix of the rest goes after the sampled ones that are less: compare up to the next sampled position
+        own = sampled[sampled % 3 == step]
+        places += np.searchsorted(*_keys([x for d in range(step) for x in ((t[own + d], t[rest + d]),)], (rank[own + step], rank[rest + step])))
     out = np.empty(n, np.int64)
-    places = low + np.arange(len(rest))
     taken = np.zeros(n, bool)
     taken[places] = True
     out[places] = rest

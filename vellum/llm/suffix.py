@@ -249,10 +249,13 @@ def repeated(ids: np.ndarray, texts: list[bytes]) -> tuple[np.ndarray, np.ndarra
     order = order[order + SPAN <= (begins + sizes)[whose[order]]]
     if not len(order):
         return order, order
+    words = np.zeros(len(data), np.uint64)  # the eight bytes from each position on
+    for d in range(8):
+        words[: len(data) - d] |= data[d:].astype(np.uint64) << np.uint64(8 * d)
     alike = np.ones(len(order) - 1, bool)
-    for d in range(SPAN):
+    for d in [*range(0, SPAN - 8, 8), SPAN - 8]:
         rows = np.flatnonzero(alike)
-        alike[rows] = data[order[rows] + d] == data[order[rows + 1] + d]
+        alike[rows] = words[order[rows] + d] == words[order[rows + 1] + d]
     first = np.concatenate([[0], np.flatnonzero(~alike) + 1])
     docs = ids[whose[order]]
     least = np.repeat(np.minimum.reduceat(docs, first), np.diff(np.append(first, len(order))))
