@@ -54,10 +54,14 @@ def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def light_side(df: DataFrame, column: str, limit: int = 48 << 20) -> DataFrame:
-    """Mark a materialised table for broadcast if its rows and the bytes in the array ``column`` are counted and few."""
-    kind = df.schema[column].dataType.elementType.typeName()
-    each = (lambda s, x: s + F.length(x)) if kind in ("binary", "string") else (lambda s, x: s + F.lit(8))
-    rows, size = df.agg(F.count("*"), F.sum(F.aggregate(column, F.lit(0).cast("long"), each))).first()
+    """Mark a materialised table for broadcast if its rows and the bytes of ``column`` (binary, or an array) are counted and few."""
+    kind = df.schema[column].dataType
+    if kind.typeName() == "array":
+        each = (lambda s, x: s + F.length(x)) if kind.elementType.typeName() in ("binary", "string") else (lambda s, x: s + F.lit(8))
+        held = F.aggregate(column, F.lit(0).cast("long"), each)
+    else:
+        held = F.length(column)
+    rows, size = df.agg(F.count("*"), F.sum(held)).first()
     return F.broadcast(df) if rows * 48 + (size or 0) <= limit else df
 
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import as_bytes, byte_slices, materialise
+from vellum.llm.common import as_bytes, byte_slices, light_side, materialise
 from vellum.llm.dc3 import suffix_array
 
 SPAN = 50
@@ -37,8 +37,6 @@ BUCKET_BYTES = 24 << 20
 PART_BYTES = 1 << 20
 #: Positions of a run of hits in one snippet fit a byte.
 RUN = 255
-#: Sides of this many bytes at most are broadcast.
-BROADCAST_BYTES = 48 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _TABLES: dict[str, np.ndarray] = {}
 
@@ -283,52 +281,55 @@ def _sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from _batched(rows, ["doc_id", "mark", "covered"], [pa.int64(), pa.int64(), pa.binary()])
 
 
-def removed_mask(size: int, blobs: list[bytes]) -> np.ndarray:
-    """Which of ``size`` bytes are covered by a removed string."""
-    change = np.zeros(size + 1, np.int32)
-    for blob in blobs:
-        at, n = _unpack(blob, np.uint32, np.uint8)
-        np.add.at(change, at.astype(np.int64), 1)
-        np.add.at(change, at.astype(np.int64) + n - 1 + SPAN, -1)
-    return np.cumsum(change[:-1]) > 0
+def spans_of(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the maximal runs of bytes that the removed strings cover."""
+    parts = [_unpack(b, np.uint32, np.uint8) for b in blobs]
+    start = np.concatenate([at for at, _ in parts]).astype(np.int64)
+    end = start + np.concatenate([n for _, n in parts]) - 1 + SPAN
+    order = np.argsort(start)
+    start, end = start[order], np.maximum.accumulate(end[order])
+    first = np.flatnonzero(np.concatenate([[True], start[1:] > end[:-1]]))
+    return start[first], end[np.append(first[1:] - 1, len(end) - 1)]
+
+
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        merged = [_pack(*(x.astype(np.uint32) for x in spans_of(blobs))) for blobs in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(merged, pa.binary())], ["doc_id", "mark", "spans"])
 
 
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in byte_slices(batch, 1, 8 << 20):
             out = []
-            for text, blobs in zip(as_bytes(part.column(1)), part.column(2).to_pylist(), strict=True):
-                if not blobs:
-                    out.append((len(text), 0, 0, text))
-                    continue
-                mask = removed_mask(len(text), blobs)
-                spans = int(np.count_nonzero(mask[1:] & ~mask[:-1]) + mask[0])
-                out.append((len(text), int(mask.sum()), spans, np.frombuffer(text, np.uint8)[~mask].tobytes()))
+            for text, spans in zip(as_bytes(part.column(1)), part.column(2).to_pylist(), strict=True):
+                start, end = _unpack(spans, np.uint32, np.uint32) if spans else ((), ())
+                at, kept = 0, []
+                for a, b in zip(start, end, strict=True):
+                    kept.append(text[at:a])
+                    at = b
+                kept = b"".join([*kept, text[at:]])
+                out.append((len(text), len(text) - len(kept), len(start), kept))
             total, gone, spans, kept = zip(*out, strict=True)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(spans, pa.int64()), pa.array([hashlib.sha256(k).hexdigest() for k in kept])], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
-def _light(rows: DataFrame, column: str) -> DataFrame:
-    """Broadcast (doc_id, mark, blobs) only if all its bytes are counted and few."""
-    size = rows.agg(F.count("*"), F.sum(F.aggregate(column, F.lit(0).cast("long"), lambda s, x: s + F.length(x)))).first()
-    return F.broadcast(rows) if size[0] * 48 + (size[1] or 0) <= BROADCAST_BYTES else rows
-
-
 def removals(docs: DataFrame) -> DataFrame:
-    """(doc_id, mark, blobs): packed positions of the removed strings of ``docs`` (doc_id, mark, text)."""
+    """(doc_id, mark, spans): packed maximal runs of the removed bytes of ``docs`` (doc_id, mark, text)."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(8, -(-total // BUCKET_BYTES))
     dealt = docs.mapInArrow(_anchored(buckets), "bucket int, blob binary").repartition(buckets, "bucket").sortWithinPartitions("bucket")
     met = materialise(dealt.mapInArrow(_meet, "doc_id long, mark long, covered binary, wanted binary"))
     wanted = materialise(met.where("wanted is not null").groupBy("doc_id", "mark").agg(F.collect_list("wanted").alias("wanted")))
-    fetched = docs.join(_light(wanted, "wanted"), ["doc_id", "mark"]).select("doc_id", "mark", "text", "wanted").mapInArrow(_fetch, "anchor long, doc_id long, mark long, at long, bytes binary")
+    fetched = docs.join(light_side(wanted, "wanted"), ["doc_id", "mark"]).select("doc_id", "mark", "text", "wanted").mapInArrow(_fetch, "anchor long, doc_id long, mark long, at long, bytes binary")
     fetched = materialise(fetched)
     size = fetched.agg(F.sum(F.length("bytes"))).first()[0] or 0
     parts = max(1, -(-size // PART_BYTES))
     deal = fetched.select(F.pmod(F.xxhash64("anchor"), F.lit(parts)).cast("int").alias("part"), "doc_id", "mark", "at", "bytes").repartition("part").sortWithinPartitions("part")
     found = deal.mapInArrow(_sort, "doc_id long, mark long, covered binary")
     every = met.where("covered is not null").select("doc_id", "mark", "covered").unionByName(found)
-    return every.groupBy("doc_id", "mark").agg(F.collect_list("covered").alias("blobs"))
+    gathered = every.groupBy("doc_id", "mark").agg(F.collect_list("covered").alias("blobs"))
+    return gathered.mapInArrow(_merge, "doc_id long, mark long, spans binary")
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -340,5 +341,5 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     marked = rows.select("doc_id", F.xxhash64("text").alias("mark"), "text")
-    gone = _light(materialise(removals(marked)), "blobs")
-    return marked.join(gone, ["doc_id", "mark"], "left").select("doc_id", "text", "blobs").mapInArrow(_finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    gone = light_side(materialise(removals(marked)), "spans")
+    return marked.join(gone, ["doc_id", "mark"], "left").select("doc_id", "text", "spans").mapInArrow(_finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
