@@ -1,8 +1,8 @@
 """Operator 3: exact repeats of 50 bytes across documents, by suffix arrays of a difference cover.
 
-The suffixes that must meet are dealt by content.  The least hash of the 19-byte strings inside a 50-byte
+The suffixes that must meet are dealt by content.  The least hash of the 27-byte strings inside a 50-byte
 string is its anchor; equal strings have equal anchors, so each anchor's strings can be sorted apart from
-all others.  Consecutive positions with one anchor make a snippet (about 16 positions); a document is
+all others.  Consecutive positions with one anchor make a snippet (about 12 positions); a document is
 cut into snippets, each position in exactly one.
 
 1. Anchors are exchanged as packed arrays (about 18 bytes a snippet).  Anchors of a single document are done.
@@ -30,7 +30,7 @@ from vellum.llm.common import as_bytes, byte_slices, light_side, materialise
 from vellum.llm.dc3 import suffix_array
 
 SPAN = 50
-GRAM = 19
+GRAM = 27
 PIECE = 2 << 20
 #: Text bytes behind one bucket of anchors, and snippet bytes behind one part of the sort.
 BUCKET_BYTES = 24 << 20
