@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from vellum.functions import text as T
 
 
-def term_counts(notes: DataFrame, key: str, tokens: Column) -> DataFrame:
-    """(key, term, tf): how often each note has each term."""
-    return notes.select(key, F.explode(tokens).alias("term")).groupBy(key, "term").agg(F.count("*").alias("tf"))
+def term_counts(terms: DataFrame, key: str) -> DataFrame:
+    """(key, term, tf) of rows (key, term): how often each note has each term."""
+    return terms.groupBy(key, "term").agg(F.count("*").alias("tf"))
 
 
 def document_frequency(counts: DataFrame) -> DataFrame:
@@ -18,12 +18,13 @@ def document_frequency(counts: DataFrame) -> DataFrame:
     return counts.groupBy("term").agg(F.count("*").alias("df"))
 
 
-def tfidf(notes: DataFrame, key: str, tokens: Column, keep: int, drop_zero: bool = True) -> DataFrame:
-    """(key, rank, term, score): the ``keep`` terms of largest tf * ln(N / df); N counts all notes, also without terms.
+def tfidf(notes: DataFrame, terms: DataFrame, key: str, keep: int, drop_zero: bool = True) -> DataFrame:
+    """(key, rank, term, score): the ``keep`` terms of largest tf * ln(N / df) of rows ``terms`` (key, term).
 
-    Terms of every note have no weight and are dropped if ``drop_zero``.  Ties go by term.
+    N counts all of ``notes``, also those without terms.  Terms of every note have no weight and are dropped if
+    ``drop_zero``.  Ties go by term.
     """
-    counts = term_counts(notes, key, tokens)
+    counts = term_counts(terms, key)
     total = notes.agg(F.count_distinct(key).alias("n"))
     weighed = counts.join(document_frequency(counts), "term").crossJoin(F.broadcast(total))  # one row
     scored = weighed.withColumn("score", F.col("tf") * F.log(F.col("n") / F.col("df")))
@@ -63,16 +64,15 @@ def tag_rollup(notes: DataFrame, tags: str) -> DataFrame:
     return counted.select("tag", F.when(F.col("tag").contains("/"), F.split_part("tag", F.lit("/"), F.lit(1))).otherwise("generale").alias("type"), "count")
 
 
-def profile(notes: DataFrame, author: str, text: Column) -> DataFrame:
+def profile(notes: DataFrame, author: str, text: str) -> DataFrame:
     """Per author: words, vocabulary, sentences, syllables and words of three syllables or more, and what follows from them.
 
     Words of one or two letters count nowhere.
     """
-    words = T.tokenize_profile(text)
-    counted = notes.select(author, F.explode(words).alias("word")).groupBy(author, "word").agg(F.count("*").alias("n"))
-    syl = T.syllables(F.col("word"))
+    counted = T.profile_rows(notes, author, text).groupBy(author, "term").agg(F.count("*").alias("n"))
+    syl = T.syllables(F.col("term"))
     lexical = counted.groupBy(author).agg(F.sum("n").alias("words"), F.count("*").alias("vocabulary"), F.sum(F.col("n") * syl).alias("syllables"), F.sum(F.when(syl >= 3, F.col("n")).otherwise(0)).alias("complex"))
-    spans = notes.groupBy(author).agg(F.sum(F.size(T.sentences(text))).alias("sentences"))
+    spans = notes.groupBy(author).agg(F.sum(F.size(T.sentences(F.col(text)))).alias("sentences"))
     return lexical.join(spans, author).withColumn("sentences", F.greatest("sentences", F.lit(1)))
 
 

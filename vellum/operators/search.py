@@ -18,7 +18,7 @@ DIM = 256
 
 def master(notes: DataFrame, key: str = "slug", content: str = "content", keep: int = 500) -> DataFrame:
     """Notes with ``terms``, ranked, and ``snippet``: written once, projected for every tier."""
-    ranked = tfidf(notes, key, T.tokenize_search(F.col(content)), keep)
+    ranked = tfidf(notes, T.search_rows(notes, key, content), key, keep)
     held = F.transform(F.sort_array(F.collect_list(F.struct("rank", "term"))), lambda s: s["term"])
     terms = ranked.groupBy(key).agg(held.alias("terms"))
     return notes.join(terms, key, "left").withColumns({"terms": F.coalesce("terms", F.array().cast("array<string>")), "snippet": T.snippet(F.col(content))})

@@ -10,6 +10,7 @@ from vellum.operators import aggregates as A
 from vellum.plans.joins import EDGES, PAIRS, edges, sides
 from vellum.plans.notes import NOTES, notes
 from vellum.plans.registry import query, table
+from vellum.sources.readers import balanced
 from vellum.plans.scalars import TOKENS_SQL, WORDS_SQL
 
 TF = f"tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest({TOKENS_SQL}) AS term FROM documents) GROUP BY ALL), df AS (SELECT term, count(*) AS df FROM tf GROUP BY term)"
@@ -23,20 +24,17 @@ profile AS (SELECT author, count(*) AS words, count(DISTINCT word) AS vocabulary
 
 
 def docs(spark, sf_dir):
-    return table(spark, sf_dir, "documents")
-
-
-def tokens():
-    return T.tokenize_search(F.col("text"))
+    return balanced(table(spark, sf_dir, "documents"))
 
 
 def master(spark, sf_dir, keep):
-    return A.tfidf(docs(spark, sf_dir), "doc_id", tokens(), keep)
+    rows = docs(spark, sf_dir)
+    return A.tfidf(rows, T.search_rows(rows, "doc_id", "text"), "doc_id", keep)
 
 
 @query("agg_tf_df", f"WITH {TF} SELECT term, df, sum(tf)::BIGINT AS tf FROM tf JOIN df USING (term) GROUP BY ALL")
 def agg_tf_df(spark, sf_dir):
-    return A.term_counts(docs(spark, sf_dir), "doc_id", tokens()).groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("tf"))
+    return A.term_counts(T.search_rows(docs(spark, sf_dir), "doc_id", "text"), "doc_id").groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("tf"))
 
 
 @query("agg_tfidf_topn", f"WITH {MASTER} SELECT doc_id, rank, term, round(score, 6) AS score FROM master WHERE rank <= 10")
@@ -74,21 +72,20 @@ def agg_score_map(spark, sf_dir):
 
 @query("agg_author_footprint", f"WITH {PROFILE} SELECT author, words, vocabulary, round(vocabulary / sqrt(words), 4) AS rttr, sentences, round(words / sentences, 4) AS avg_sentence, syllables, complex FROM profile JOIN sent USING (author)")
 def agg_author_footprint(spark, sf_dir):
-    stats = A.profile(docs(spark, sf_dir), "source", F.col("text"))
+    stats = A.profile(docs(spark, sf_dir), "source", "text")
     return stats.select(F.col("source").alias("author"), "words", "vocabulary", F.round(F.col("vocabulary") / F.sqrt("words"), 4).alias("rttr"), "sentences", F.round(F.col("words") / F.col("sentences"), 4).alias("avg_sentence"), "syllables", F.col("complex").cast("long").alias("complex"))
 
 
 @query("agg_readability", f"WITH {PROFILE} SELECT author, round(206.835 - 1.015 * (words / sentences) - 84.6 * (syllables / words), 4) AS flesch, round(0.39 * (words / sentences) + 11.8 * (syllables / words) - 15.59, 4) AS fk_grade, round(0.4 * (words / sentences + 100 * (complex / words)), 4) AS fog FROM profile JOIN sent USING (author)")
 def agg_readability(spark, sf_dir):
-    stats = A.readability(A.profile(docs(spark, sf_dir), "source", F.col("text")))
+    stats = A.readability(A.profile(docs(spark, sf_dir), "source", "text"))
     return stats.select(F.col("source").alias("author"), *[F.round(c, 4).alias(c) for c in ("flesch", "fk_grade", "fog")])
 
 
 @query("agg_distinctive", f"WITH w AS (SELECT source AS author, term, count(*) AS tf FROM (SELECT source, unnest(list_filter({WORDS_SQL}, lambda w: NOT list_contains({PROFILE_STOP_SQL}, w))) AS term FROM documents) GROUP BY ALL), d AS (SELECT term, count(*) AS df FROM w GROUP BY term), r AS (SELECT author, term, tf * ln(n / df) AS score, row_number() OVER (PARTITION BY author ORDER BY round(tf * ln(n / df), 9) DESC, term) AS rank FROM w JOIN d USING (term), (SELECT count(DISTINCT source) AS n FROM documents)) SELECT author, rank, term, round(score, 6) AS score FROM r WHERE rank <= 30")
 def agg_distinctive(spark, sf_dir):
-    stop = F.array(*map(F.lit, dict.fromkeys(T.PROFILE_STOP)))
-    words = F.filter(T.tokenize_profile(F.col("text")), lambda w: ~F.array_contains(stop, w))
-    ranked = A.tfidf(docs(spark, sf_dir), "source", words, 30, drop_zero=False)
+    rows = docs(spark, sf_dir)
+    ranked = A.tfidf(rows, T.profile_rows(rows, "source", "text", stop=True), "source", 30, drop_zero=False)
     return ranked.select(F.col("source").alias("author"), F.col("rank").cast("long").alias("rank"), "term", F.round("score", 6).alias("score"))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vellum.plans.registry import table
+from vellum.sources.readers import balanced
 
 NOTES = """label AS (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id),
 notes AS (SELECT d.doc_id, 'works/w' || (d.doc_id - d.doc_id % 5) || CASE WHEN d.doc_id % 5 > 0 THEN '#part-' || (d.doc_id % 5) ELSE '' END AS slug,
@@ -21,7 +22,7 @@ notes AS (SELECT d.doc_id, 'works/w' || (d.doc_id - d.doc_id % 5) || CASE WHEN d
 
 
 def notes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = balanced(table(spark, sf_dir, "documents"))
     label = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
     work = F.concat(F.lit("works/w"), (F.col("doc_id") - F.col("doc_id") % 5).cast("string"))
     part = F.when(F.col("doc_id") % 5 > 0, F.concat(F.lit("#part-"), (F.col("doc_id") % 5).cast("string"))).otherwise("")

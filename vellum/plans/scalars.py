@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vellum.functions import text as T
 from vellum.plans.registry import query, table
+from vellum.sources.readers import balanced
 
 #: The text with links, headings and emphasis put in, in both languages.
 MARKED_SQL = r"""'# Note' || chr(10) || replace(replace(replace(text, ' the ', ' [[concepts/the-one|the]] '), ' of ', ' **of** '), ' de ', ' [[topos/de-la]] ')"""
@@ -19,7 +20,7 @@ BASE = f"base AS (SELECT doc_id, text, lang, source, n_chars, {MARKED_SQL} AS ma
 
 
 def base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = balanced(table(spark, sf_dir, "documents"))
     marked = F.concat(F.lit("# Note\n"), F.col("text"))
     for raw, put in ((" the ", " [[concepts/the-one|the]] "), (" of ", " **of** "), (" de ", " [[topos/de-la]] ")):
         marked = F.replace(marked, F.lit(raw), F.lit(put))

@@ -110,10 +110,9 @@ SIZES = f"{MASTER}, size AS (SELECT rank, strlen(term) + 10 AS bytes FROM master
 
 @query("budget_search", f"WITH {SIZES}, total AS (SELECT sum(bytes) AS b FROM size), best AS (SELECT coalesce(max(n), 5) AS n FROM range(5, 501) t(n) WHERE (SELECT sum(bytes) FROM size WHERE rank <= n) <= (SELECT b * 0.8 FROM total)) SELECT n::BIGINT AS n, (SELECT sum(bytes)::BIGINT FROM size, best WHERE rank <= n) AS bytes FROM best")
 def budget_search(spark, sf_dir):
-    sizes = rank_sizes(spark, sf_dir).groupBy("rank").agg(F.sum("bytes").alias("bytes"))
-    target = int(sizes.agg(F.sum("bytes")).first()[0] * 0.8)
-    n = S.budget_search(sizes, target)
-    return sizes.where(F.col("rank") <= n).agg(F.lit(n).cast("long").alias("n"), F.sum("bytes").alias("bytes"))
+    totals = S.rank_totals(rank_sizes(spark, sf_dir))
+    n = S.budget_search(totals, int(sum(totals.values()) * 0.8))
+    return spark.createDataFrame([(n, sum(b for rank, b in totals.items() if rank <= n))], "n long, bytes long")
 
 
 NO_ART = r"trim(regexp_replace(lower({}), '^\s*(the|a|an)\s+', ''))"

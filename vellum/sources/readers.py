@@ -15,6 +15,13 @@ from pyspark.sql.utils import AnalysisException
 NOTE = T.StructType([T.StructField(c, T.StringType()) for c in ("title", "author", "type", "cluster", "source")] + [T.StructField("tags", T.ArrayType(T.StringType()))])
 
 
+def balanced(rows: DataFrame, bytes_a_core: int = 4 << 20) -> DataFrame:
+    """A small table dealt out over all cores: it comes in too few row groups to occupy them.  Others stay as they are."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return rows.repartition(cores) if size <= bytes_a_core * cores else rows
+
+
 def vault(spark: SparkSession, path: str, ignore: tuple[str, ...] = (), pattern: str = "*.md") -> DataFrame:
     """(path, text): the files of a folder and all below; ``ignore`` are regular expressions on the path inside it.
 
