@@ -78,9 +78,13 @@ def align_repair(spark, sf_dir):
     return H.realigned(rows, "key", "a", "b")
 
 
-@query("md_fix")
+@query("md_fix", f"WITH {BASE} SELECT doc_id, replace(replace(replace(marked, '[[concepts/the-one|the]]', '[[concepts/the-one|old the]]'), '**of**', ' **of** '), '[[topos/de-la]]', 'words') AS fixed FROM base")
 def md_fix(spark, sf_dir):
-    return H.fixed_markdown(base(spark, sf_dir), "doc_id", "marked")
+    """Nested links, loose emphasis and mangled placeholders, put in and repaired."""
+    bad = F.col("marked")
+    for good, wrong in (("[[concepts/the-one|the]]", "[[old [[concepts/the-one|the]]]]"), ("**of**", "** of **"), ("[[topos/de-la]]", "[[]L07|words]]")):
+        bad = F.replace(bad, F.lit(good), F.lit(wrong))
+    return H.fixed_markdown(base(spark, sf_dir).withColumn("marked", bad), "doc_id", "marked")
 
 
 @query("mask_unmask", f"WITH {BASE} SELECT doc_id, md5(marked) AS digest FROM base")
@@ -89,7 +93,7 @@ def mask_unmask(spark, sf_dir):
     return back.select("doc_id", F.md5("back").alias("digest"))
 
 
-@query("lex_repair")
+@query("lex_repair", r"SELECT doc_id, regexp_replace(text, '(?i)(^|[^\p{L}\p{N}_\[|])(the)($|[^\p{L}\p{N}_\]|])', '\1[[concepts/the-one|\2]]\3') AS repaired FROM documents")
 def lex_repair(spark, sf_dir):
     return H._per_row(base(spark, sf_dir), "doc_id", ["text"], lambda t: H.repair_links(t, ["concepts/the-one"], {"the": "concepts/the-one"}), "repaired", "string")
 

@@ -100,7 +100,7 @@ def join_nearest_num(spark, sf_dir):
     return J.nearest_key(table(spark, sf_dir, "documents").select("doc_id"), "doc_id", right, "k2", 100)
 
 
-@query("join_sequence_locate")
+@query("join_sequence_locate", "WITH l AS (SELECT doc_id, list_transform(string_split(text, chr(10)), lambda x: lower(trim(x))) AS a FROM documents), w AS (SELECT doc_id, a, a[2:3] AS w FROM l WHERE len(a) >= 2), f AS (SELECT doc_id, list_min(list_filter(range(0, len(a) - len(w) + 1), lambda i: a[i + 1:i + len(w)] = w)) AS k FROM w) SELECT doc_id, k AS \"at\", CASE WHEN k = 0 THEN 'exact' ELSE 'exact-anywhere' END AS tier FROM f")
 def join_sequence_locate(spark, sf_dir):
     lines = F.transform(F.split("text", "\n"), lambda x: F.lower(F.trim(x)))
     rows = table(spark, sf_dir, "documents").select("doc_id", lines.alias("lines"), F.slice(lines, F.lit(2), F.lit(2)).alias("wanted"))

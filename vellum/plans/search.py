@@ -155,14 +155,19 @@ def known_targets(spark, sf_dir):
     return L.extract_links(wiki(spark, sf_dir), "page_id", "md").select("target").distinct().where(F.col("target").contains("th")).select("target", F.concat(F.lit("concepts/"), F.lower("target")).alias("slug"))
 
 
-@query("link_rewrite")
+TARGET = r"regexp_extract(l, '\[\[([^\]|#]*)', 1)"
+ANCHOR = r"regexp_extract(l, '(#[^\]|]*)', 1)"
+WORDS = rf"CASE WHEN contains(l, '|') THEN regexp_extract(l, '\|([^\]]*)', 1) ELSE {TARGET} END"
+
+
+@query("link_rewrite", rf"WITH {WIKI} SELECT page_id, coalesce(array_to_string(list_transform(regexp_extract_all(md, '\[\[[^\]]*\]\] '), lambda l: CASE WHEN contains({TARGET}, 'th') THEN '[[concepts/' || lower({TARGET}) || {ANCHOR} || '|' || {WORDS} || ']] ' ELSE l END), ''), '') AS md FROM wiki")
 def link_rewrite(spark, sf_dir):
     return L.rewrite_links(wiki(spark, sf_dir), "page_id", "md", known_targets(spark, sf_dir))
 
 
-@query("link_strip_dead")
+@query("link_strip_dead", rf"WITH {WIKI}, f AS (SELECT page_id, regexp_extract_all(md, '\[\[[^\]]*\]\] ') AS ls FROM wiki) SELECT page_id, coalesce(array_to_string(list_transform(ls, lambda l: CASE WHEN contains({TARGET}, 'th') THEN l ELSE {WORDS} || ' ' END), ''), '') AS md, coalesce(array_to_string(list_transform(list_filter(ls, lambda l: NOT contains({TARGET}, 'th')), lambda l: {TARGET}), ','), '') AS stripped FROM f")
 def link_strip_dead(spark, sf_dir):
-    return L.strip_dead_links(wiki(spark, sf_dir), "page_id", "md", known_targets(spark, sf_dir))
+    return L.strip_dead_links(wiki(spark, sf_dir), "page_id", "md", known_targets(spark, sf_dir)).withColumn("stripped", F.array_join("stripped", ","))
 
 
 @query("graph_backlinks", f"WITH {EDGES} SELECT target AS dst, count(DISTINCT host) AS n, array_to_string(list_sort(list(DISTINCT host)), ',') AS sources FROM edges GROUP BY target")

@@ -85,14 +85,27 @@ def win_newly_complete(spark, sf_dir):
     return done.join(notified, "conv_id", "left_anti").select("conv_id")
 
 
-@query("pack_bytes")
+def folded(group: str, size: str, fits: str, add: str) -> str:
+    """SQL that folds a group's rows in order into buckets, one row a step."""
+    return f"""WITH RECURSIVE item AS (SELECT {group} AS grp, doc_id, {size} AS size, row_number() OVER (PARTITION BY {group} ORDER BY doc_id) AS nr FROM documents),
+fold AS (SELECT grp, doc_id, nr, 0::BIGINT AS bucket, (size + {add})::BIGINT AS used, 1::BIGINT AS held FROM item WHERE nr = 1
+  UNION ALL SELECT i.grp, i.doc_id, i.nr, f.bucket + CASE WHEN {fits} THEN 0 ELSE 1 END, CASE WHEN {fits} THEN f.used ELSE 0 END + i.size + {add}, CASE WHEN {fits} THEN f.held ELSE 0 END + 1
+  FROM fold f JOIN item i ON i.grp = f.grp AND i.nr = f.nr + 1)
+SELECT grp AS {group}, bucket, array_to_string(list(doc_id ORDER BY nr), ',') AS ids FROM fold GROUP BY ALL"""
+
+
+def packed(rows):
+    return rows.withColumns({"bucket": F.col("bucket").cast("long"), "ids": F.array_join(F.transform("ids", lambda x: x.cast("string")), ",")})
+
+
+@query("pack_bytes", folded("source", "strlen(text)", "f.used + i.size + 3 <= 20000", "1"))
 def pack_bytes(spark, sf_dir):
-    return S.pack_bytes(docs(spark, sf_dir).withColumn("size", F.octet_length("text")), "source", "doc_id", "size", 20_000)
+    return packed(S.pack_bytes(docs(spark, sf_dir).withColumn("size", F.octet_length("text")), "source", "doc_id", "size", 20_000))
 
 
-@query("pack_batches")
+@query("pack_batches", folded("lang", "least(length(text), 8000)", "f.held < 35 AND f.used + i.size <= 180000", "0"))
 def pack_batches(spark, sf_dir):
-    return S.pack_batches(docs(spark, sf_dir).withColumn("size", F.length("text")), "lang", "doc_id", "size")
+    return packed(S.pack_batches(docs(spark, sf_dir).withColumn("size", F.length("text")), "lang", "doc_id", "size"))
 
 
 @query("pack_chunks")

@@ -161,6 +161,11 @@ def sink_manifest(spark, sf_dir):
     return K.manifest(docs(spark, sf_dir), "source", "doc_id", F.col("doc_id").cast("string"))
 
 
+@query("sink_pages", "SELECT doc_id, '<!DOCTYPE html><html lang=\"' || lang || '\"><head><title>' || source || '</title></head><body><article><h1>' || source || '</h1><p>' || replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), chr(10), '</p><p>') || '</p></article></body></html>' AS html FROM documents")
+def sink_pages(spark, sf_dir):
+    return docs(spark, sf_dir).select("doc_id", K.page_html(F.col("source"), F.split("text", "\n", -1), F.col("lang")).alias("html"))
+
+
 @query("sink_cap_guard", "SELECT true AS under")
 def sink_cap_guard(spark, sf_dir):
     at = scratch(spark)
@@ -216,7 +221,7 @@ def str_log_tail(spark, sf_dir):
     return gathered(spark, stream, at).groupBy("event_type").agg(F.count("*").alias("n"))
 
 
-@query("str_pair_events")
+@query("str_pair_events", "WITH e AS (SELECT user_id, event_id, event_type, max(CASE WHEN event_type = 'click' THEN event_id END) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS started FROM events) SELECT user_id, started, event_id AS ended, event_type AS outcome FROM (SELECT *, row_number() OVER (PARTITION BY user_id, started ORDER BY event_id) AS r FROM e WHERE event_type <> 'click' AND started IS NOT NULL) WHERE r = 1")
 def str_pair_events(spark, sf_dir):
     rows = table(spark, sf_dir, "events").select("user_id", F.col("event_id").alias("at"), F.col("event_type").alias("kind"))
     stream, at = streamed(spark, rows, ["user_id", "at", "kind"])

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vellum.functions.text import esc_html
+
 #: No file may be larger, and tiers above their soft size are reported.
 HARD_CAP = 25 * 1024 * 1024
 SOFT = {0: 4_500_000, 1: 5_000_000, 2: HARD_CAP * 9 // 10, 3: HARD_CAP * 9 // 10}
@@ -61,6 +63,12 @@ def redirects(mapping: DataFrame, pages: DataFrame) -> DataFrame:
     return mapping.where(~F.col("old").startswith("_")).join(pages.select(F.col("slug").alias("old")), "old", "left_anti")
 
 
+def page_html(title: Column, paragraphs: Column, lang: Column) -> Column:
+    """A page: title, heading and paragraphs, escaped."""
+    body = F.array_join(F.transform(paragraphs, lambda p: F.concat(F.lit("<p>"), esc_html(p), F.lit("</p>"))), "")
+    return F.concat(F.lit('<!DOCTYPE html><html lang="'), lang, F.lit('"><head><title>'), esc_html(title), F.lit("</title></head><body><article><h1>"), esc_html(title), F.lit("</h1>"), body, F.lit("</article></body></html>"))
+
+
 def manifest(rows: DataFrame, group: str, order: str, member: Column) -> DataFrame:
     """(group, members as JSON, size)."""
     held = F.transform(F.sort_array(F.collect_list(F.struct(F.col(order), member.alias("m")))), lambda s: s["m"])
