@@ -7,7 +7,8 @@ cut into snippets, each position in exactly one.
 
 1. Anchors are exchanged as packed arrays (about 18 bytes a snippet).  Anchors of a single document are done.
    Equal snippets are one string, of the least document; the others are covered wholly.
-2. Where an anchor has several different strings, their bytes are fetched, and dealt by anchor.
+2. What is covered and what is wanted is dealt by document, a row each.  Where an anchor has several different
+   strings, their bytes are fetched by a join with the texts, and dealt by anchor.
 3. Each part sorts all suffixes of its strings by the difference-cover algorithm (sorted sampled triples,
    recursion on names, merge of the rest) and compares prefixes of adjacent suffixes; equal ones are
    removed but in the least document.
@@ -148,6 +149,19 @@ def _anchored(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
     return run
 
 
+def spans_of(at: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the maximal runs of bytes covered by strings that start at ``at`` and the n - 1 positions after."""
+    return _joined(at.astype(np.int64), at.astype(np.int64) + n - 1 + SPAN)
+
+
+def _joined(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Maximal runs of the union of intervals."""
+    order = np.argsort(start)
+    start, end = start[order], np.maximum.accumulate(end[order])
+    first = np.flatnonzero(np.concatenate([[True], start[1:] > end[:-1]]))
+    return start[first].astype(np.uint32), end[np.append(first[1:] - 1, len(end) - 1)].astype(np.uint32)
+
+
 def _groups(*keys: np.ndarray) -> np.ndarray:
     """Starts of the runs of equal rows in sorted ``keys``."""
     new = np.ones(len(keys[0]), bool)
@@ -155,13 +169,13 @@ def _groups(*keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _met(bucket: int, blobs: list[bytes]) -> Iterator[tuple[int, int, bytes | None, bytes | None]]:
-    """For each document of a bucket: (id, mark, positions covered wholly, snippets whose bytes are wanted)."""
-    parts = [_unpack(b, np.int64, np.int64, np.uint32, np.uint32, np.uint16, np.uint16, np.uint32, np.uint8) for b in blobs]
-    base = np.cumsum([0] + [len(p[0]) for p in parts])
-    ids, marks = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
-    anchor, low, high, position, size = (np.concatenate([p[i] for p in parts]) for i in (2, 3, 4, 6, 7))
-    whose = np.concatenate([p[5].astype(np.int64) + b for p, b in zip(parts, base, strict=False)])
+def _met(bucket: int, blobs: list[bytes], parts: int) -> Iterator[tuple[int, bytes, bytes]]:
+    """For the documents of each part: what is covered wholly and what is wanted, packed."""
+    read = [_unpack(b, np.int64, np.int64, np.uint32, np.uint32, np.uint16, np.uint16, np.uint32, np.uint8) for b in blobs]
+    base = np.cumsum([0] + [len(p[0]) for p in read])
+    ids, marks = (np.concatenate([p[i] for p in read]) for i in (0, 1))
+    anchor, low, high, position, size = (np.concatenate([p[i] for p in read]) for i in (2, 3, 4, 6, 7))
+    whose = np.concatenate([p[5].astype(np.int64) + b for p, b in zip(read, base, strict=False)])
     order = np.argsort(anchor, kind="stable")
     first = _groups(anchor[order])
     count = np.diff(np.append(first, len(order)))
@@ -171,8 +185,8 @@ def _met(bucket: int, blobs: list[bytes]) -> Iterator[tuple[int, int, bytes | No
     if not len(rows):
         return
     content = high[rows].astype(np.int64) << 40 | low[rows].astype(np.int64) << 8 | size[rows]
-    rows = rows[np.lexsort((content, anchor[rows]))]
-    content = high[rows].astype(np.int64) << 40 | low[rows].astype(np.int64) << 8 | size[rows]
+    sort = np.lexsort((content, anchor[rows]))
+    rows, content = rows[sort], content[sort]
     same = _groups(anchor[rows], content)
     count = np.diff(np.append(same, len(rows)))
     docs = ids[whose[rows]]
@@ -180,18 +194,37 @@ def _met(bucket: int, blobs: list[bytes]) -> Iterator[tuple[int, int, bytes | No
     group = _groups(anchor[rows])
     kinds = np.diff(np.searchsorted(same, np.append(group, len(rows))))
     several = np.repeat(kinds > 1, np.diff(np.append(group, len(rows))))
-    for mask, wanted in ((covered, False), (~covered & several, True)):
-        picked = rows[mask]
-        picked = picked[np.argsort(whose[picked], kind="stable")]
-        if not len(picked):
-            continue
-        for own in np.split(picked, _groups(whose[picked])[1:]):
-            doc = whose[own[0]]
-            if wanted:
-                full = np.uint64(bucket) << np.uint64(32) | anchor[own].astype(np.uint64)
-                yield int(ids[doc]), int(marks[doc]), None, _pack(full, position[own], size[own])
-            else:
-                yield int(ids[doc]), int(marks[doc]), _pack(position[own], size[own]), None
+    part = (_mix(ids.view(np.uint64) ^ _mix(marks.view(np.uint64))) % np.uint64(parts)).astype(np.int64)
+    rows = rows[covered | several]
+    covered = covered[covered | several]
+    order = np.argsort(part[whose[rows]], kind="stable")
+    rows, covered = rows[order], covered[order]
+    cuts = _groups(part[whose[rows]]) if len(rows) else []
+    for one, done in zip(np.split(rows, cuts[1:]) if len(rows) else [], np.split(covered, cuts[1:]) if len(rows) else [], strict=True):
+        a, w = one[done], one[~done]
+        yield int(part[whose[one[0]]]), _pack(ids[whose[a]], marks[whose[a]], position[a], size[a]), _pack(ids[whose[w]], marks[whose[w]], np.uint64(bucket) << np.uint64(32) | anchor[w].astype(np.uint64), position[w], size[w])
+
+
+def _by_document(ids: np.ndarray, marks: np.ndarray, *rest: np.ndarray) -> dict[tuple[int, int], list[np.ndarray]]:
+    """The other arrays, split by (id, mark)."""
+    if not len(ids):
+        return {}
+    order = np.lexsort((marks, ids))
+    ids, marks = ids[order], marks[order]
+    first = _groups(ids, marks)
+    parts = [np.split(r[order], first[1:]) for r in rest]
+    return {(int(ids[f]), int(marks[f])): [p[i] for p in parts] for i, f in enumerate(first)}
+
+
+def _told(blobs: list[tuple[bytes, bytes]]) -> Iterator[tuple[int, int, bytes | None, bytes | None]]:
+    """(id, mark, covered runs, wanted snippets) of each document of a part."""
+    covered = [_unpack(a, np.int64, np.int64, np.uint32, np.uint8) for a, _ in blobs]
+    wanted = [_unpack(b, np.int64, np.int64, np.uint64, np.uint32, np.uint8) for _, b in blobs]
+    done = _by_document(*(np.concatenate([c[i] for c in covered]) for i in range(4)))
+    asked = _by_document(*(np.concatenate([w[i] for w in wanted]) for i in range(5)))
+    for doc in done.keys() | asked.keys():
+        spans = _pack(*spans_of(done[doc][0], done[doc][1])) if doc in done else None
+        yield *doc, spans, _pack(*asked[doc]) if doc in asked else None
 
 
 def _grouped(batches: Iterator[pa.RecordBatch], work: Callable, size: int) -> Iterator[tuple]:
@@ -208,29 +241,36 @@ def _grouped(batches: Iterator[pa.RecordBatch], work: Callable, size: int) -> It
         yield from work(of, held)
 
 
-def _batched(rows: Iterator[tuple], names: list[str], types: list) -> Iterator[pa.RecordBatch]:
+def _batched(rows: Iterator[tuple], names: list[str], types: list, most: int = 5000) -> Iterator[pa.RecordBatch]:
     held = []
     for row in rows:
         held.append(row)
-        if len(held) == 5000:
+        if len(held) == most:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held, strict=True), types, strict=True)], names)
             held = []
     if held:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held, strict=True), types, strict=True)], names)
 
 
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows = _grouped(batches, lambda bucket, held: _met(bucket, [r[0] for r in held]), 2)
-    yield from _batched(rows, ["doc_id", "mark", "covered", "wanted"], [pa.int64(), pa.int64(), pa.binary(), pa.binary()])
+def _meet(parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = _grouped(batches, lambda bucket, held: _met(bucket, [r[0] for r in held], parts), 2)
+        yield from _batched(rows, ["part", "covered", "wanted"], [pa.int32(), pa.binary(), pa.binary()], 16)
+
+    return run
+
+
+def _tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = _grouped(batches, lambda part, held: _told([(a, b) for a, b in held]), 3)
+    yield from _batched(rows, ["doc_id", "mark", "spans", "wanted"], [pa.int64(), pa.int64(), pa.binary(), pa.binary()])
 
 
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def rows() -> Iterator[tuple]:
         for batch in batches:
             for doc, mark, text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), as_bytes(batch.column(2)), batch.column(3).to_pylist(), strict=True):
-                for blob in wanted:
-                    for anchor, at, size in zip(*(x.tolist() for x in _unpack(blob, np.uint64, np.uint32, np.uint8)), strict=True):
-                        yield anchor, doc, mark, at, text[at : at + size - 1 + SPAN]
+                for anchor, at, size in zip(*(x.tolist() for x in _unpack(wanted, np.uint64, np.uint32, np.uint8)), strict=True):
+                    yield anchor, doc, mark, at, text[at : at + size - 1 + SPAN]
 
     yield from _batched(rows(), ["anchor", "doc_id", "mark", "at", "bytes"], [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()])
 
@@ -266,35 +306,23 @@ def _sorted_part(held: list[list]) -> Iterator[tuple[int, int, bytes]]:
     whose, where = repeated(np.array(docs, np.int64), texts)
     if not len(whose):
         return
-    first = _groups(whose, where - np.arange(len(where)))
-    size = np.diff(np.append(first, len(where)))
-    out: dict[tuple[int, int], list[tuple[int, int]]] = {}
-    for i, w, n in zip(whose[first].tolist(), where[first].tolist(), size.tolist(), strict=True):
-        out.setdefault((docs[i], marks[i]), []).append((ats[i] + w, n))
-    for (doc, mark), runs in out.items():
-        at, n = zip(*runs, strict=True)
-        yield doc, mark, _pack(np.array(at, np.uint32), np.array(n, np.uint8))
+    start = np.array(ats, np.int64)[whose] + where
+    found = _by_document(np.array(docs, np.int64)[whose], np.array(marks, np.int64)[whose], start)
+    for (doc, mark), (at,) in found.items():
+        yield doc, mark, _pack(*spans_of(at, np.ones(len(at), np.int64)))
 
 
 def _sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows = _grouped(batches, lambda part, held: _sorted_part(held), 5)
-    yield from _batched(rows, ["doc_id", "mark", "covered"], [pa.int64(), pa.int64(), pa.binary()])
-
-
-def spans_of(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the maximal runs of bytes that the removed strings cover."""
-    parts = [_unpack(b, np.uint32, np.uint8) for b in blobs]
-    start = np.concatenate([at for at, _ in parts]).astype(np.int64)
-    end = start + np.concatenate([n for _, n in parts]) - 1 + SPAN
-    order = np.argsort(start)
-    start, end = start[order], np.maximum.accumulate(end[order])
-    first = np.flatnonzero(np.concatenate([[True], start[1:] > end[:-1]]))
-    return start[first], end[np.append(first[1:] - 1, len(end) - 1)]
+    yield from _batched(rows, ["doc_id", "mark", "spans"], [pa.int64(), pa.int64(), pa.binary()])
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        merged = [_pack(*(x.astype(np.uint32) for x in spans_of(blobs))) for blobs in batch.column(2).to_pylist()]
+        merged = []
+        for blobs in batch.column(2).to_pylist():
+            parts = [_unpack(b, np.uint32, np.uint32) for b in blobs]
+            merged.append(_pack(*_joined(*(np.concatenate([p[i] for p in parts]).astype(np.int64) for i in (0, 1)))))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(merged, pa.binary())], ["doc_id", "mark", "spans"])
 
 
@@ -319,16 +347,17 @@ def removals(docs: DataFrame) -> DataFrame:
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(8, -(-total // BUCKET_BYTES))
     dealt = docs.mapInArrow(_anchored(buckets), "bucket int, blob binary").repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    met = materialise(dealt.mapInArrow(_meet, "doc_id long, mark long, covered binary, wanted binary"))
-    wanted = materialise(met.where("wanted is not null").groupBy("doc_id", "mark").agg(F.collect_list("wanted").alias("wanted")))
-    fetched = docs.join(light_side(wanted, "wanted"), ["doc_id", "mark"]).select("doc_id", "mark", "text", "wanted").mapInArrow(_fetch, "anchor long, doc_id long, mark long, at long, bytes binary")
+    met = dealt.mapInArrow(_meet(buckets), "part int, covered binary, wanted binary").repartition(buckets, "part").sortWithinPartitions("part")
+    told = materialise(met.mapInArrow(_tell, "doc_id long, mark long, spans binary, wanted binary"))
+    wanted = told.where("wanted is not null").select("doc_id", "mark", "wanted")
+    fetched = docs.join(wanted.hint("merge"), ["doc_id", "mark"]).select("doc_id", "mark", "text", "wanted").mapInArrow(_fetch, "anchor long, doc_id long, mark long, at long, bytes binary")
     fetched = materialise(fetched)
     size = fetched.agg(F.sum(F.length("bytes"))).first()[0] or 0
     parts = max(1, -(-size // PART_BYTES))
     deal = fetched.select(F.pmod(F.xxhash64("anchor"), F.lit(parts)).cast("int").alias("part"), "doc_id", "mark", "at", "bytes").repartition("part").sortWithinPartitions("part")
-    found = deal.mapInArrow(_sort, "doc_id long, mark long, covered binary")
-    every = met.where("covered is not null").select("doc_id", "mark", "covered").unionByName(found)
-    gathered = every.groupBy("doc_id", "mark").agg(F.collect_list("covered").alias("blobs"))
+    found = deal.mapInArrow(_sort, "doc_id long, mark long, spans binary")
+    every = told.where("spans is not null").select("doc_id", "mark", "spans").unionByName(found)
+    gathered = every.groupBy("doc_id", "mark").agg(F.collect_list("spans").alias("blobs"))
     return gathered.mapInArrow(_merge, "doc_id long, mark long, spans binary")
 
 
