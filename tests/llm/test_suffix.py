@@ -68,6 +68,16 @@ def test_against_brute_force(spark):
     assert got == want and sum(r[2] for r in want) > 1000
 
 
+def test_very_common_anchors_are_split(spark, monkeypatch):
+    import vellum.llm.suffix as m
+
+    rng = random.Random(3)
+    rows = [(i, "".join(rng.choice("abcdef ") for _ in range(40)) + "a passage that very many of the documents have in common, word by word" + "".join(rng.choice("abcdef ") for _ in range(40))) for i in range(60)]
+    monkeypatch.setattr(m, "HOT", 5)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((tuple(r) for r in remove_repeats(df).collect()), key=str) == brute(rows)
+
+
 def test_pieces_do_not_matter(spark, monkeypatch):
     import vellum.llm.suffix as m
 

@@ -11,7 +11,8 @@ cut into snippets, each position in exactly one.
    strings, their bytes are fetched by a join with the texts, and dealt by anchor.
 3. Each part sorts all suffixes of its strings by the difference-cover algorithm (sorted sampled triples,
    recursion on names, merge of the rest) and compares prefixes of adjacent suffixes; equal ones are
-   removed but in the least document.
+   removed but in the least document.  Strings of an anchor with more than ``HOT`` of them are grouped by
+   each 50 bytes instead, with partial sums, so that no task holds a very common passage's surroundings.
 4. The removed positions of a document meet its text again.
 
 Texts longer than ``PIECE`` are cut into pieces that overlap by 49 bytes; results do not depend on it.
@@ -24,18 +25,21 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import as_bytes, byte_slices, light_side, materialise
+from vellum.llm.common import as_bytes, byte_slices, light_side, materialise, small_side
 from vellum.llm.dc3 import suffix_array
 
 SPAN = 50
 GRAM = 27
-PIECE = 2 << 20
+PIECE = 1 << 19
 #: Text bytes behind one bucket of anchors, and snippet bytes behind one part of the sort.
 BUCKET_BYTES = 24 << 20
 PART_BYTES = 1 << 20
+#: An anchor with more strings is not sorted in one task.
+HOT = 20_000
 #: Positions of a run of hits in one snippet fit a byte.
 RUN = 255
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -126,7 +130,7 @@ def _unpack(blob: bytes, *kinds: type) -> list[np.ndarray]:
 def _anchored(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in byte_slices(batch, 2, 4 * PIECE):
+            for part in byte_slices(batch, 2, 2 * PIECE):
                 for entries, data in _pieces(part.column(0).to_pylist(), part.column(1).to_pylist(), as_bytes(part.column(2))):
                     ends = np.cumsum([e[3] for e in entries])
                     start, size, anchor, content = snippets(np.frombuffer(data, np.uint8), ends)
@@ -267,8 +271,8 @@ def _tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def rows() -> Iterator[tuple]:
-        for batch in batches:
-            for doc, mark, text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), as_bytes(batch.column(2)), batch.column(3).to_pylist(), strict=True):
+        for part in (part for batch in batches for part in byte_slices(batch, 2, 4 << 20)):
+            for doc, mark, text, wanted in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), as_bytes(part.column(2)), part.column(3).to_pylist(), strict=True):
                 for anchor, at, size in zip(*(x.tolist() for x in _unpack(wanted, np.uint64, np.uint32, np.uint8)), strict=True):
                     yield anchor, doc, mark, at, text[at : at + size - 1 + SPAN]
 
@@ -317,6 +321,32 @@ def _sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from _batched(rows, ["doc_id", "mark", "spans"], [pa.int64(), pa.int64(), pa.binary()])
 
 
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every 50-byte string of very common anchors, by 128 bits of hash."""
+
+    def rows() -> Iterator[tuple]:
+        for batch in batches:
+            for doc, mark, at, text in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                for i in range(len(text) - SPAN + 1):
+                    yield xxhash.xxh3_128_digest(text[i : i + SPAN]), doc, mark, at + i
+
+    yield from _batched(rows(), ["window", "doc_id", "mark", "at"], [pa.binary(), pa.int64(), pa.int64(), pa.int64()])
+
+
+def _starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        spans = [_pack(*spans_of(np.array(at, np.int64), np.ones(len(at), np.int64))) for at in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(spans, pa.binary())], ["doc_id", "mark", "spans"])
+
+
+def _common(strings: DataFrame) -> DataFrame:
+    """(doc_id, mark, spans) for strings of anchors too common for one task: each 50-byte string is a group of its own."""
+    windows = strings.select("doc_id", "mark", "at", "bytes").mapInArrow(_windows, "window binary, doc_id long, mark long, at long")
+    least = windows.groupBy("window").agg(F.min("doc_id").alias("least"))
+    hit = windows.join(least, "window").where("doc_id > least")
+    return hit.groupBy("doc_id", "mark").agg(F.collect_list("at").alias("at")).mapInArrow(_starts, "doc_id long, mark long, spans binary")
+
+
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         merged = []
@@ -328,7 +358,7 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in byte_slices(batch, 1, 8 << 20):
+        for part in byte_slices(batch, 1, 4 << 20):
             out = []
             for text, spans in zip(as_bytes(part.column(1)), part.column(2).to_pylist(), strict=True):
                 start, end = _unpack(spans, np.uint32, np.uint32) if spans else ((), ())
@@ -354,9 +384,11 @@ def removals(docs: DataFrame) -> DataFrame:
     fetched = materialise(fetched)
     size = fetched.agg(F.sum(F.length("bytes"))).first()[0] or 0
     parts = max(1, -(-size // PART_BYTES))
-    deal = fetched.select(F.pmod(F.xxhash64("anchor"), F.lit(parts)).cast("int").alias("part"), "doc_id", "mark", "at", "bytes").repartition("part").sortWithinPartitions("part")
+    common = small_side(materialise(fetched.groupBy("anchor").count().where(F.col("count") > HOT).select("anchor")))
+    several = fetched.join(common, "anchor", "left_anti")
+    deal = several.select(F.pmod(F.xxhash64("anchor"), F.lit(parts)).cast("int").alias("part"), "doc_id", "mark", "at", "bytes").repartition("part").sortWithinPartitions("part")
     found = deal.mapInArrow(_sort, "doc_id long, mark long, spans binary")
-    every = told.where("spans is not null").select("doc_id", "mark", "spans").unionByName(found)
+    every = told.where("spans is not null").select("doc_id", "mark", "spans").unionByName(found).unionByName(_common(fetched.join(common, "anchor", "left_semi")))
     gathered = every.groupBy("doc_id", "mark").agg(F.collect_list("spans").alias("blobs"))
     return gathered.mapInArrow(_merge, "doc_id long, mark long, spans binary")
 
