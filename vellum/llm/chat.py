@@ -148,3 +148,22 @@ def digests(examples: DataFrame) -> DataFrame:
     conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars (of all its examples together).
     """
     return examples.mapInArrow(_digest, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+
+
+#: The digests of the query op6_chat, straight from the turns.
+ORACLE = r"""
+WITH turn AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+sized AS (
+  SELECT *, length(text) + len(regexp_extract_all(text, '[<\[]\\*/?(?:s>|INST\])')) + CASE WHEN role = 'assistant' THEN 7
+    ELSE 14 + length(role) + len(regexp_extract_all(role, '[\\\n]')) + len(regexp_extract_all(role, '[<\[]\\*/?(?:s>|INST\])')) END AS n FROM turn),
+upto AS (
+  SELECT *, sum(n) OVER (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING) AS total,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, role DESC, text DESC) AS back FROM sized)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '')) AS loss_sha256,
+  sum(CASE WHEN role = 'assistant' OR back = 1 THEN total ELSE 0 END)::BIGINT AS formatted_chars
+FROM upto GROUP BY conv_id
+"""

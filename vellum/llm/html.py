@@ -162,7 +162,7 @@ def _hash(text: str) -> int:
 def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(host, path, shown: the page's first presentation, or block: a text's hash; ancestors once in a batch)."""
     for batch in batches:
-        for part in byte_slices(batch, 1, 4 << 20):
+        for part in byte_slices(batch, 1, 2 << 20):
             rows, told = [], set()
             for url, page in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                 if not (host := host_of(url)):
@@ -208,7 +208,7 @@ def style_tree(pages: DataFrame) -> DataFrame:
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in byte_slices(batch, 1, 4 << 20):
+        for part in byte_slices(batch, 1, 2 << 20):
             texts = [main_text(page or "", frozenset(noisy or ())) for page, noisy in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string())], ["page", "text"])
 
@@ -235,3 +235,13 @@ def extract(pages: DataFrame, noise: float = NOISE) -> DataFrame:
     joined = placed.join(noisy, "host", "left").select(F.struct("page_id", "url").alias("page"), "html", "noisy")
     found = joined.mapInArrow(_extract, "page struct<page_id: long, url: string>, text string")
     return found.select("page.page_id", "page.url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+#: The query op8_html on the test pages, whose articles hold a heading and paragraphs only.
+ORACLE = r"""
+WITH inside AS (SELECT page_id, url, regexp_replace(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '</?b>', '', 'g') AS x FROM pages),
+block AS (SELECT page_id, url, list_transform(regexp_split_to_array(x, '</?p>|</?h1>'), lambda b:
+  trim(regexp_replace(regexp_replace(replace(replace(replace(regexp_replace(b, '<br */?>', ' ', 'g'), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))) AS b FROM inside),
+page AS (SELECT page_id, url, coalesce(array_to_string(list_filter(b, lambda t: t <> ''), chr(10) || chr(10)), '') AS text FROM block)
+SELECT page_id, url, text, length(text) AS n_chars FROM page
+"""

@@ -69,4 +69,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_simhash": op10_simhash,
 }
-ORACLES: dict[str, str] = {"op4_decontam": decontam.ORACLE}
+ORACLES: dict[str, str] = {"op4_decontam": decontam.ORACLE, "op6_chat": chat.ORACLE, "op8_html": html.ORACLE}
