@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A side is broadcast up to this many rows of a few numbers each; beyond it the join shuffles.
@@ -48,9 +48,14 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Have the driver's JVM collect its garbage, so that Spark's cleaner deletes the shuffle files of steps that are written."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Mark a materialised table for broadcast if it is proven small; else leave the join to shuffle."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    return F.broadcast(df) if df.count() <= rows else df
 
 
 def light_side(df: DataFrame, column: str, limit: int = 48 << 20) -> DataFrame:
@@ -70,6 +75,19 @@ def drop_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(small_side(ids.select("doc_id").distinct()), "doc_id", "left_anti").select(docs.columns)
 
 
+def sample_per(rows: DataFrame, group: str, key: str, most: int, groups: int) -> DataFrame:
+    """At most ``most`` rows of each of the ``groups`` most frequent groups, the first by a hash of ``key``.
+
+    ``rows`` hold a key and group once.  Only rows whose hash is small enough for their group's size are ranked (three times
+    as many as are wanted), so that a very frequent group is not sorted in one task.
+    """
+    counts = rows.groupBy(group).agg(F.count("*").alias("_n")).orderBy(F.desc("_n"), group).limit(groups)
+    share = F.pmod(F.xxhash64(key), F.lit(1 << 40)) / float(1 << 40)
+    near = rows.join(F.broadcast(counts), group).where(share < (3.0 * most) / F.col("_n"))
+    order = Window.partitionBy(group).orderBy(share, key)
+    return near.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= most).select(key, group)
+
+
 def byte_slices(batch: pa.RecordBatch, column: int, limit: int) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows with about ``limit`` bytes of text each (at least a row)."""
     texts = batch.column(column)

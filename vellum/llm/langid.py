@@ -15,10 +15,10 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import byte_slices
+from vellum.llm.common import byte_slices, sample_per
 from vellum.llm.svm import decide, features, has_letter, train_svm
 
 PER_LANG = 250
@@ -42,9 +42,7 @@ def held_out(doc_id: Column) -> Column:
 def sample(docs: DataFrame, per_lang: int = PER_LANG, max_langs: int = MAX_LANGS) -> DataFrame:
     """(lang, text) of the bounded training sample; ids are chosen first, without reading texts."""
     ids = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")) & (F.col("lang") != UNKNOWN))
-    langs = ids.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).select("lang")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = ids.select("doc_id", "lang").distinct().join(F.broadcast(langs), "lang").withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_lang).select("doc_id", "lang")
+    chosen = sample_per(ids.select("doc_id", "lang").distinct(), "lang", "doc_id", per_lang, max_langs)
     rows = docs.select("doc_id", "text", "lang").where("text is not null and lang is not null").join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").select("doc_id", "text", "lang")
     return rows
 
@@ -54,7 +52,7 @@ def _train_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         kept = [(i, lang, t) for i, t, lang in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True) if has_letter(t)]
         for start in range(0, len(kept), 256):
             part = kept[start : start + 256]
-            yield pa.RecordBatch.from_arrays([pa.array([i for i, _, _ in part], pa.int64()), pa.array([x for _, x, _ in part]), pa.array([features(t).tobytes() for _, _, t in part], pa.binary())], ["doc_id", "lang", "x"])
+            yield pa.RecordBatch.from_arrays([pa.array([i for i, _, _ in part], pa.int64()), pa.array([x for _, x, _ in part]), pa.array([features(t).astype(np.float16).tobytes() for _, _, t in part], pa.binary())], ["doc_id", "lang", "x"])
 
 
 class Model:
@@ -106,7 +104,7 @@ def train(docs: DataFrame, per_lang: int = PER_LANG, max_langs: int = MAX_LANGS)
     rows = sample(docs, per_lang, max_langs).mapInArrow(_train_features, "doc_id long, lang string, x binary")
     # At most per_lang * max_langs rows of a fixed width reach the driver, repeated rows or not.
     rows = rows.groupBy("doc_id", "lang").agg(F.min("x").alias("x")).orderBy("lang", "doc_id").collect()
-    x = np.stack([np.frombuffer(r.x, np.float32) for r in rows]) if rows else np.zeros((0, 1), np.float32)
+    x = np.stack([np.frombuffer(r.x, np.float16) for r in rows], dtype=np.float32) if rows else np.zeros((0, 1), np.float32)
     return Model([r.lang for r in rows], x)
 
 
@@ -114,7 +112,7 @@ def _predictor(model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = model.value
         for batch in batches:
-            for part in byte_slices(batch, 1, 4 << 20):
+            for part in byte_slices(batch, 1, 2 << 20):
                 texts = part.column(1).to_pylist()
                 langs, scores = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
                 real = [i for i, t in enumerate(texts) if t and has_letter(t)]

@@ -19,14 +19,17 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import as_bytes, byte_slices, materialise, small_side
+from vellum.llm.common import as_bytes, byte_slices, materialise, sample_per, small_side
 
 PER_DOMAIN = 400
+MAX_DOMAINS = 64
 #: Hash buckets for byte pairs and for words.
 PAIRS, WORDS = 2048, 8192
+#: Documents whose features are held at once, however short they are.
+ROWS = 256
 ROUNDS = 60
 TOLERANCE = 1e-4
 #: Share of all tokens that each domain is to have after mixing; other domains: none, shares of absent domains are dealt out.
@@ -53,16 +56,16 @@ def features(words: list[bytes]) -> np.ndarray:
 
 def fit_softmax(x: np.ndarray, y: np.ndarray, classes: int, prior: np.ndarray, penalty: float = 1e-5, rounds: int = 500) -> np.ndarray:
     """Weights (last row: bias) of a logistic regression, by Nesterov's gradient; rows weigh so that classes have ``prior``."""
-    x = np.concatenate([x, np.ones((len(x), 1), np.float32)], axis=1)
     hot = np.eye(classes, dtype=np.float32)[y]
     weight = (prior / np.maximum(hot.sum(axis=0), 1))[y][:, None].astype(np.float32)
-    w = look = np.zeros((x.shape[1], classes), np.float32)
-    step = 1 / (0.5 * float((weight[:, 0] * (x * x).sum(axis=1)).sum()) + penalty)
+    w = look = np.zeros((x.shape[1] + 1, classes), np.float32)
+    step = 1 / (0.5 * float((weight[:, 0] * (np.einsum("ij,ij->i", x, x) + 1)).sum()) + penalty)
     for k in range(rounds):
-        z = x @ look
+        z = x @ look[:-1] + look[-1]
         p = np.exp(z - z.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
-        after = look - step * (x.T @ (weight * (p - hot)) + penalty * look)
+        off = weight * (p - hot)
+        after = look - step * (np.concatenate([x.T @ off, off.sum(axis=0, keepdims=True)]) + penalty * look)
         look = after + np.float32(k / (k + 3)) * (after - w)
         w = after
     return w
@@ -84,8 +87,8 @@ class Domains:
 
 def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in byte_slices(batch, 1, 4 << 20):
-            x = [features(t.split()).tobytes() for t in as_bytes(part.column(1))]
+        for part in byte_slices(batch, 1, 2 << 20):
+            x = [features(t.split()).astype(np.float16).tobytes() for t in as_bytes(part.column(1))]
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(x, pa.binary())], ["doc_id", "domain", "x"])
 
 
@@ -97,16 +100,14 @@ def domain_of(labels: DataFrame) -> DataFrame:
 
 def learn(docs: DataFrame, labels: DataFrame, per_domain: int = PER_DOMAIN) -> Domains:
     known = domain_of(labels)
-    order = Window.partitionBy("domain").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ranked = known.withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_domain).select("doc_id", "domain")
-    shares = {r.domain: r["count"] for r in known.groupBy("domain").count().orderBy(F.desc("count"), "domain").limit(64).collect()}
-    chosen = ranked.where(F.col("domain").isin(list(shares)))
+    chosen = sample_per(known, "domain", "doc_id", per_domain, MAX_DOMAINS)
+    shares = {r.domain: r["count"] for r in known.groupBy("domain").count().orderBy(F.desc("count"), "domain").limit(MAX_DOMAINS).collect()}
     rows = docs.where("text is not null").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "domain").mapInArrow(_sample_features, "doc_id long, domain string, x binary")
-    rows = rows.groupBy("doc_id", "domain").agg(F.min("x").alias("x")).orderBy("domain", "doc_id").collect()  # at most per_domain * 64
+    rows = rows.groupBy("doc_id", "domain").agg(F.min("x").alias("x")).orderBy("domain", "doc_id").collect()  # at most per_domain * MAX_DOMAINS
     names = sorted({r.domain for r in rows})
     if len(names) < 2:
         return Domains(names or ["all"], None)
-    x = np.stack([np.frombuffer(r.x, np.float32) for r in rows])
+    x = np.stack([np.frombuffer(r.x, np.float16) for r in rows], dtype=np.float32)
     y = np.array([names.index(r.domain) for r in rows])
     prior = np.array([shares[n] for n in names], float)
     return Domains(names, fit_softmax(x, y, len(names), prior / prior.sum()))
@@ -116,10 +117,9 @@ def _member(model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         domains = model.value
         for batch in batches:
-            for part in byte_slices(batch, 1, 4 << 20):
+            for part in byte_slices(batch, 1, 2 << 20):
                 words = [t.split() for t in as_bytes(part.column(1))]
-                x = np.stack([features(w) for w in words])
-                p = domains.posterior(x)
+                p = np.concatenate([domains.posterior(np.stack([features(w) for w in words[i : i + ROWS]])) for i in range(0, len(words), ROWS)])
                 flat = pa.FixedSizeListArray.from_arrays(pa.array(p.ravel()), p.shape[1]).cast(pa.list_(pa.float64()))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(w) for w in words], pa.int64()), flat], ["doc_id", "n_tokens", "posterior"])
 

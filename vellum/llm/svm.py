@@ -60,8 +60,7 @@ def train_svm(x: np.ndarray, y: np.ndarray, cost: float = 10.0, epochs: int = 40
 
     Costs are balanced between the two classes.
     """
-    x = np.concatenate([x, np.ones((len(x), 1), x.dtype)], axis=1).astype(np.float64)
-    gram = x @ x.T
+    gram = (x @ x.T).astype(np.float64) + 1  # the bias is one more component of 1
     share = np.where(y > 0, np.mean(y > 0), np.mean(y < 0))
     diag = gram.diagonal() + 0.5 / (cost * 0.5 / share)
     alpha, margin = np.zeros(len(y)), np.zeros(len(y))
@@ -76,7 +75,7 @@ def train_svm(x: np.ndarray, y: np.ndarray, cost: float = 10.0, epochs: int = 40
                 moved = max(moved, abs(step))
         if moved < 1e-4:
             break
-    return (alpha * y) @ x
+    return np.append((alpha * y).astype(x.dtype) @ x, (alpha * y).sum())
 
 
 def decide(x: np.ndarray, weights: np.ndarray) -> np.ndarray:
