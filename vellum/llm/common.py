@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,11 +50,6 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Have the driver's JVM collect its garbage, so that Spark's cleaner deletes the shuffle files of steps that are written."""
-    spark.sparkContext._jvm.System.gc()
-
-
 def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Mark a materialised table for broadcast if it is proven small; else leave the join to shuffle."""
     return F.broadcast(df) if df.count() <= rows else df
@@ -88,6 +85,20 @@ def sample_per(rows: DataFrame, group: str, key: str, most: int, groups: int) ->
     return near.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= most).select(key, group)
 
 
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """An Arrow function whose worker gives freed memory back when a task ends, as workers outlive tasks and stages."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # another C library
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
+
+
 def byte_slices(batch: pa.RecordBatch, column: int, limit: int) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows with about ``limit`` bytes of text each (at least a row)."""
     texts = batch.column(column)

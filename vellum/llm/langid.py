@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import byte_slices, sample_per
+from vellum.llm.common import byte_slices, sample_per, tidy
 from vellum.llm.svm import decide, features, has_letter, train_svm
 
 PER_LANG = 250
@@ -101,7 +101,7 @@ class Model:
 
 
 def train(docs: DataFrame, per_lang: int = PER_LANG, max_langs: int = MAX_LANGS) -> Model:
-    rows = sample(docs, per_lang, max_langs).mapInArrow(_train_features, "doc_id long, lang string, x binary")
+    rows = sample(docs, per_lang, max_langs).mapInArrow(tidy(_train_features), "doc_id long, lang string, x binary")
     # At most per_lang * max_langs rows of a fixed width reach the driver, repeated rows or not.
     rows = rows.groupBy("doc_id", "lang").agg(F.min("x").alias("x")).orderBy("lang", "doc_id").collect()
     x = np.stack([np.frombuffer(r.x, np.float16) for r in rows], dtype=np.float32) if rows else np.zeros((0, 1), np.float32)
@@ -134,5 +134,5 @@ def identify(docs: DataFrame, per_lang: int = PER_LANG) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     model = docs.sparkSession.sparkContext.broadcast(train(docs, per_lang))
     rows = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
-    found = rows.mapInArrow(_predictor(model), "doc_id long, lang_pred string, score double, held_out boolean")
+    found = rows.mapInArrow(tidy(_predictor(model)), "doc_id long, lang_pred string, score double, held_out boolean")
     return found.select("doc_id", "held_out", "lang_pred", "score")

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import as_bytes, byte_slices, materialise, sample_per, small_side
+from vellum.llm.common import as_bytes, byte_slices, materialise, sample_per, small_side, tidy
 
 PER_DOMAIN = 400
 MAX_DOMAINS = 64
@@ -102,7 +102,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_domain: int = PER_DOMAIN) -> D
     known = domain_of(labels)
     chosen = sample_per(known, "domain", "doc_id", per_domain, MAX_DOMAINS)
     shares = {r.domain: r["count"] for r in known.groupBy("domain").count().orderBy(F.desc("count"), "domain").limit(MAX_DOMAINS).collect()}
-    rows = docs.where("text is not null").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "domain").mapInArrow(_sample_features, "doc_id long, domain string, x binary")
+    rows = docs.where("text is not null").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "domain").mapInArrow(tidy(_sample_features), "doc_id long, domain string, x binary")
     rows = rows.groupBy("doc_id", "domain").agg(F.min("x").alias("x")).orderBy("domain", "doc_id").collect()  # at most per_domain * MAX_DOMAINS
     names = sorted({r.domain for r in rows})
     if len(names) < 2:
@@ -209,7 +209,7 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     model = learn(docs, labels, per_domain)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    members = materialise(docs.mapInArrow(_member(shared), "doc_id long, n_tokens long, posterior array<double>"))
+    members = materialise(docs.mapInArrow(tidy(_member(shared)), "doc_id long, n_tokens long, posterior array<double>"))
     steps, _, _ = solve(members, model.names, TARGETS if targets is None else targets, budget, rounds)
     rated = members.mapInArrow(_rated(steps), "doc_id long, n_tokens long, posterior array<double>, rate double")
     names = F.array(*map(F.lit, model.names))

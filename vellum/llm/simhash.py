@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vellum.llm.buckets import link_buckets
-from vellum.llm.common import as_bytes, byte_slices, drop_ids, materialise
+from vellum.llm.common import as_bytes, byte_slices, drop_ids, materialise, tidy
 from vellum.llm.components import components
 
 PART_BITS = 31
@@ -131,7 +131,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     results; rows whose id is null get a fingerprint and the least non-null id they reach (null if
     none).  Other columns are ignored.  An empty table gives no rows.
     """
-    marked = materialise(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(_fingerprints, "doc_id long, fp long"))
+    marked = materialise(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(tidy(_fingerprints), "doc_id long, fp long"))
     distinct = materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("least")))
     linked = components(link_fingerprints(distinct), "a", "b")
     rooted = distinct.join(linked, distinct.fp == linked.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
