@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from vellum.llm.common import as_bytes, byte_slices
 
 BATCH_BYTES = 2 << 20
-CACHE = 300_000
+CACHE = 1_000_000
 #: Longer pieces are encoded but not remembered.
 REMEMBER = 64
 LIMIT = 2048
