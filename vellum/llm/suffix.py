@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import as_bytes, byte_slices, light_side, materialise, small_side
+from vellum.llm.common import as_bytes, byte_slices, light_side, materialise, small_side, tidy
 from vellum.llm.dc3 import suffix_array
 
 SPAN = 50
@@ -376,18 +376,18 @@ def removals(docs: DataFrame) -> DataFrame:
     """(doc_id, mark, spans): packed maximal runs of the removed bytes of ``docs`` (doc_id, mark, text)."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(8, -(-total // BUCKET_BYTES))
-    dealt = docs.mapInArrow(_anchored(buckets), "bucket int, blob binary").repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    met = dealt.mapInArrow(_meet(buckets), "part int, covered binary, wanted binary").repartition(buckets, "part").sortWithinPartitions("part")
-    told = materialise(met.mapInArrow(_tell, "doc_id long, mark long, spans binary, wanted binary"))
+    dealt = docs.mapInArrow(tidy(_anchored(buckets)), "bucket int, blob binary").repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    met = dealt.mapInArrow(tidy(_meet(buckets)), "part int, covered binary, wanted binary").repartition(buckets, "part").sortWithinPartitions("part")
+    told = materialise(met.mapInArrow(tidy(_tell), "doc_id long, mark long, spans binary, wanted binary"))
     wanted = told.where("wanted is not null").select("doc_id", "mark", "wanted")
-    fetched = docs.join(wanted.hint("merge"), ["doc_id", "mark"]).select("doc_id", "mark", "text", "wanted").mapInArrow(_fetch, "anchor long, doc_id long, mark long, at long, bytes binary")
+    fetched = docs.join(wanted.hint("merge"), ["doc_id", "mark"]).select("doc_id", "mark", "text", "wanted").mapInArrow(tidy(_fetch), "anchor long, doc_id long, mark long, at long, bytes binary")
     fetched = materialise(fetched)
     size = fetched.agg(F.sum(F.length("bytes"))).first()[0] or 0
     parts = max(1, -(-size // PART_BYTES))
     common = small_side(materialise(fetched.groupBy("anchor").count().where(F.col("count") > HOT).select("anchor")))
     several = fetched.join(common, "anchor", "left_anti")
     deal = several.select(F.pmod(F.xxhash64("anchor"), F.lit(parts)).cast("int").alias("part"), "doc_id", "mark", "at", "bytes").repartition("part").sortWithinPartitions("part")
-    found = deal.mapInArrow(_sort, "doc_id long, mark long, spans binary")
+    found = deal.mapInArrow(tidy(_sort), "doc_id long, mark long, spans binary")
     every = told.where("spans is not null").select("doc_id", "mark", "spans").unionByName(found).unionByName(_common(fetched.join(common, "anchor", "left_semi")))
     gathered = every.groupBy("doc_id", "mark").agg(F.collect_list("spans").alias("blobs"))
     return gathered.mapInArrow(_merge, "doc_id long, mark long, spans binary")
@@ -403,4 +403,4 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     marked = rows.select("doc_id", F.xxhash64("text").alias("mark"), "text")
     gone = light_side(materialise(removals(marked)), "spans")
-    return marked.join(gone, ["doc_id", "mark"], "left").select("doc_id", "text", "spans").mapInArrow(_finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return marked.join(gone, ["doc_id", "mark"], "left").select("doc_id", "text", "spans").mapInArrow(tidy(_finish), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
