@@ -53,3 +53,20 @@ def test_style_tree_removes_what_pages_share(spark):
     tree = style_tree(df).collect()
     assert min(r.importance for r in tree) < 0.1 and max(r.importance for r in tree) <= 1.0 + 1e-9
     assert extract(df.limit(0)).collect() == []
+
+
+def test_names_of_wrappers_and_article_headers_are_no_verdict():
+    wrapped = '<body><div id="page" class="layout no-sidebar has-comments"><div class="search sidebar"><article><header class="entry-header"><h1>Title</h1></header><p>Body</p></article></div><div class="related"><article>Teaser</article></div></div></body>'
+    assert main_text(wrapped) == "Title\n\nBody"
+    assert main_text('<div class="sidebar"><p>' + "the whole page " * 9 + '</p></div><div class="menu">Menu</div>') == ("the whole page " * 9).strip()
+
+
+def test_the_style_tree_judges_named_blocks_and_those_inside_and_outside_the_article(spark):
+    def page(i):
+        own = f"word{i} and {i * 7}"
+        return f"""<body><div class="widget">Follow us</div><div><p>lead {own}</p></div><div class="ad">buy {own}</div><article><div><p>Subscribe now</p></div>
+        <section><p>text {own}</p></section><div class="notice"><p>errata {own}</p></div><div class="share">Share this</div><div class="comments">reader {own}</div></article></body>"""
+
+    df = spark.createDataFrame([(i, f"http://site.example/{i}", page(i)) for i in range(12)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in extract(df).collect()}
+    assert got == {i: "\n\n".join(f"{k} word{i} and {i * 7}" for k in ("lead", "text", "errata")) for i in range(12)}

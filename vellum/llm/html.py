@@ -9,13 +9,15 @@ importance combines that of its presentations and of all content below it:
     content(E)      = mean of 1 - log_m c            over the blocks at or below E, each in c of its node's m pages
     importance(E)   = (1 - g**l) presentation(E) + g**l content(E),   g = 0.9
 
-Branches of importance below ``NOISE`` are cut from each page of the host.  HTML's own words settle the clear
-cases whatever the host: navigation, asides, forms, notices, adverts and comments never count, and if a page
-marks its article or main part, text outside it does not count and paragraphs inside it are not judged by
-repetition (a passage that many articles quote is still theirs).
+Branches of importance below ``NOISE`` are cut from each page of the host, inside its article as well.  HTML's own
+elements settle the clear cases whatever the host: navigation, asides, page footers and forms never count.  All else that
+hints at noise is a prior that lowers importance by a factor: a name for page furniture, a name for what varies and yet is
+none of the page's (adverts, comments), and a place outside the article or main part.  A doubted branch stays if
+its importance, so lowered, still reaches ``NOISE``; paths on too few pages count as ``UNJUDGED``.  Branches that hold the
+article (without one: most of the page's text) are not cut for their names or repetition.
 
 Pages are read twice: once for the statistics, which are summed by host and path before they are
-dealt out, and once to extract.  Only the noisy paths of a host travel to its pages.
+dealt out, and once to extract.  Only the noisy paths of a host and the importance of its doubted ones travel to its pages.
 """
 
 from __future__ import annotations
@@ -36,6 +38,9 @@ NOISE = 0.3
 DECAY = 0.9
 #: Paths on fewer pages of a host are not judged.
 LEAST_PAGES = 5
+#: The importance of a path that is not judged, and the factors of the priors.
+UNJUDGED = 0.5
+FURNITURE, STRANGE, OUTSIDE = 0.35, 0.2, 0.35
 # Elements of HTML by their part in a page.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style noscript template textarea title iframe xmp noembed noframes".split())
@@ -44,33 +49,54 @@ BLOCK = set("address article aside blockquote body caption center dd details dia
 CLOSES_P = BLOCK - {"body", "head", "html", "tbody", "td", "tfoot", "th", "thead", "tr", "caption", "legend"}
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "thead": {"tr", "td", "th"}, "tbody": {"thead", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"}}
 SCOPES = set("ul ol dl table article main section div body".split())
-_NAMED = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|newsletter|subscribe|subscription|popup|modal|overlay|side-?bar|breadcrumbs?|menu|nav|navbar|navigation|masthead|(?:site|page)-?header|(?:site|page)-?footer|header|footer|share|sharing|social|related|recommend\w*|comments?|comment-?list|disqus|replies|respond|pagination|pager|skip-?link|widget|toolbar|login|search)(?=$|[\s_-])", re.I)
+_EDGES = (r"(?<![^\s_-])(?<!\bno[_-])(?<!\bhas[_-])(?<!\bwith[_-])(?<!\bwithout[_-])(?:", r")(?=$|[\s_-])")
+_NAMED = re.compile(_EDGES[0] + r"banner|cookies?|consent|gdpr|notices?|newsletter|subscribe|subscription|popup|modal|overlay|side-?bar|breadcrumbs?|menu|nav|navbar|navigation|(?:site|page)-?footer|footer|share|sharing|social|pagination|pager|skip-?link|widget|toolbar|login|search" + _EDGES[1], re.I)
+#: Names of a heading's block, inside an article its own.
+_HEADED = re.compile(_EDGES[0] + r"masthead|(?:site|page)-?header|header" + _EDGES[1], re.I)
+#: Names of what varies from page to page and yet is no page's text.
+_STRANGE = re.compile(_EDGES[0] + r"ads?|advert\w*|sponsor\w*|promo\w*|related|recommend\w*|comments?|comment-?list|disqus|replies|respond" + _EDGES[1], re.I)
 _ROLES = set("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar".split())
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<[!?/][^>]*>|[^<]+|<", re.S)
 _ATTR = re.compile(r"(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 
 
 class Node:
-    """An open element: path hash, hashes of its ancestors, whether its text counts, its children's tags, its blocks."""
+    """An open element: path hash, hashes of its ancestors, whether its text counts, the prior of its name, its children's tags."""
 
-    __slots__ = ("ancestors", "children", "core", "label", "never", "path", "tag")
+    __slots__ = ("ancestors", "children", "core", "label", "never", "path", "prior", "refused", "tag", "up")
 
-    def __init__(self, tag: str, label: str, up: Node | None, never: bool):
-        self.tag, self.label, self.children = tag, label, []
+    def __init__(self, tag: str, label: str, up: Node | None, refused: bool, prior: float = 1.0):
+        self.tag, self.label, self.children, self.up, self.refused, self.prior = tag, label, [], up, refused, prior
         self.path = xxhash.xxh64_intdigest(label, up.path if up else 0) - (1 << 63)
         self.ancestors = (*up.ancestors, self.path) if up else (self.path,)
         self.core = tag in ("article", "main") or bool(up and up.core)
-        self.never = never or bool(up and up.never)
+        self.never = refused or bool(up and up.never)
+
+
+def _line(node: Node | None) -> Iterator[Node]:
+    """A node and its ancestors, innermost first."""
+    while node:
+        yield node
+        node = node.up
 
 
 def _refused(tag: str, attrs: dict[str, str], up: Node | None) -> bool:
     if tag in NEVER or tag == "header" and not (up and up.core):
         return True
     if tag in ("html", "body", "article", "main"):
-        return tag == "article" and bool(re.search(r"\bcomments?\b", attrs.get("class", ""), re.I))
-    if "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true" or attrs.get("role", "").lower() in _ROLES:
-        return True
-    return bool(attrs) and bool(_NAMED.search(attrs.get("class", "")) or _NAMED.search(attrs.get("id", "")))
+        return False
+    return "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true" or attrs.get("role", "").lower() in _ROLES
+
+
+def _prior(tag: str, attrs: dict[str, str], up: Node | None) -> float:
+    if not attrs or tag in ("html", "body", "main"):
+        return 1.0
+    names = attrs.get("class", ""), attrs.get("id", "")
+    if any(map(_STRANGE.search, names)):
+        return STRANGE
+    if tag != "article" and (any(map(_NAMED.search, names)) or not (up and up.core) and any(map(_HEADED.search, names))):
+        return FURNITURE
+    return 1.0
 
 
 def walk(page: str) -> Iterator[tuple[str, Node, str]]:
@@ -130,22 +156,70 @@ def walk(page: str) -> Iterator[tuple[str, Node, str]]:
             close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
             at = close.end() if close else end
             continue
-        stack.append(Node(tag, label, stack[-1], _refused(tag, attrs, stack[-1])))
+        stack.append(Node(tag, label, stack[-1], _refused(tag, attrs, stack[-1]), _prior(tag, attrs, stack[-1])))
         yield "open", stack[-1], ""
     yield from flush()
 
 
-def main_text(page: str, noisy: frozenset[int] = frozenset()) -> str:
-    """The blocks of the article, joined by blank lines; branches whose path is in ``noisy`` are left out."""
-    blocks, core = [], False
+def judged_nodes(page: str) -> tuple[list[Node], list[tuple[Node, str]], set[int], bool]:
+    """A page's elements and its blocks that may count, the ids of the nodes that hold its main part, and whether it marks one.
+
+    An article inside a branch with a doubtful name (a teaser, a comment) is the main part only if there is no other.
+    """
+    opened, blocks = [], []
     for kind, node, text in walk(page):
-        core |= kind == "open" and node.core and not node.never
-        if kind == "text" and not node.never:
+        if kind == "open":
+            opened.append(node)
+        elif not node.never:
             blocks.append((node, text))
-    if core:
-        blocks = [x for x in blocks if x[0].core]
-    kept = [text for node, text in blocks if not noisy.intersection(node.ancestors)]
-    return "\n\n".join(kept or [text for _, text in blocks])
+    size: dict[int, int] = {}
+    for node, text in blocks:
+        for n in _line(node):
+            size[id(n)] = size.get(id(n), 0) + len(text)
+    cores = [n for n in opened if n.core and not n.up.core and not n.never and id(n) in size]
+    clear = [n for n in cores if all(x.prior == 1.0 for x in _line(n))]
+    if cores:
+        holds = {id(x) for n in clear or [max(cores, key=lambda n: size[id(n)])] for x in _line(n)}
+    else:
+        half = sum(len(text) for _, text in blocks) / 2
+        holds = {k for k, n in size.items() if n > half}
+    return opened, blocks, holds, bool(cores)
+
+
+def _factor(node: Node, holds: set[int], core: bool) -> float:
+    """The prior of a node: of its name and of its place outside the main part; 1 where it holds that part."""
+    if id(node) in holds:
+        return 1.0
+    inside = not core or any(x.core and id(x) in holds for x in _line(node))
+    return node.prior * (1.0 if inside else OUTSIDE)
+
+
+def main_text(page: str, noisy: frozenset[int] = frozenset(), doubted: dict[int, float] | None = None, noise: float = NOISE) -> str:
+    """The blocks of the page's own text, joined by blank lines.
+
+    Left out are branches whose path is in ``noisy`` and doubtful ones whose importance (``doubted``, by path) does not make up for the prior.
+    """
+    _, blocks, holds, core = judged_nodes(page)
+    known, doubted = {}, doubted or {}
+
+    def own(node: Node) -> bool:
+        if id(node) in holds:
+            return True
+        factor = _factor(node, holds, core)
+        return node.path not in noisy and (factor == 1.0 or doubted.get(node.path, UNJUDGED) * factor >= noise)
+
+    def counts(node: Node) -> bool:
+        if core and id(node) in holds and not node.core:  # loose text beside the article
+            return False
+        for n in reversed(list(_line(node))):
+            if id(n) not in known:
+                known[id(n)] = own(n)
+            if not known[id(n)]:
+                return False
+        return True
+
+    kept = [text for node, text in blocks if counts(node)]
+    return "\n\n".join(kept or [text for node, text in blocks if not core or node.core] or [text for _, text in blocks])
 
 
 def host_of(url: str | None) -> str:
@@ -168,26 +242,26 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if not (host := host_of(url)):
                     continue
                 host, first, blocks = _hash(host), {}, set()
-                for kind, node, text in walk(page):
-                    if kind == "open":
-                        first.setdefault(node.path, node)
-                    else:
-                        blocks.add((node.path, _hash(text)))
+                opened, texts, holds, core = judged_nodes(page)
+                doubtful = {n.path for n in opened if not n.never and _factor(n, holds, core) < 1.0}
+                for node in opened:
+                    first.setdefault(node.path, node)
+                for node, text in texts:
+                    blocks.add((node.path, _hash(text)))
                 for path, node in first.items():
                     new = (host, path) not in told
                     told.add((host, path))
-                    judged = not node.core or "." in node.label
-                    rows.append((host, path, True, _hash(" ".join(node.children)), list(node.ancestors) if new else None, judged))
+                    rows.append((host, path, True, _hash(" ".join(node.children)), list(node.ancestors) if new else None, path in doubtful))
                 rows += [(host, path, False, h, None, None) for path, h in blocks]
             if rows:
                 types = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.list_(pa.int64()), pa.bool_()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], ["host", "path", "shape", "feature", "ancestors", "judged"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], ["host", "path", "shape", "feature", "ancestors", "doubted"])
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """(host, path, pages, importance, judged) of every node of every host's tree; host and path are hashes."""
+    """(host, path, pages, importance, doubted) of every node of every host's tree; host and path are hashes."""
     texts = pages.select(F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")).where("url is not null and html is not null")
-    seen = materialise(texts.mapInArrow(_statistics, "host long, path long, shape boolean, feature long, ancestors array<long>, judged boolean"))
+    seen = materialise(texts.mapInArrow(_statistics, "host long, path long, shape boolean, feature long, ancestors array<long>, doubted boolean"))
     counted = seen.groupBy("host", "path", "shape", "feature").agg(F.count("*").cast("double").alias("c"))
     nodes = counted.groupBy("host", "path").agg(
         F.sum(F.when(F.col("shape"), F.col("c"))).alias("m"),
@@ -196,21 +270,27 @@ def style_tree(pages: DataFrame) -> DataFrame:
         F.count(F.when(~F.col("shape"), 1)).alias("blocks"),
         F.sum(F.when(~F.col("shape"), F.log("c"))).alias("block_sum"),
     )
-    places = seen.where("ancestors is not null").groupBy("host", "path").agg(F.first("ancestors").alias("ancestors"), F.bool_or("judged").alias("judged"))
+    places = seen.where("shape").groupBy("host", "path").agg(F.first("ancestors", ignorenulls=True).alias("ancestors"), F.bool_or("doubted").alias("doubted"))
     spread = F.log("m")
-    nodes = materialise(nodes.join(places, ["host", "path"]).select("host", "path", "m", "shapes", "judged", "ancestors", "blocks", F.when(F.col("m") > 1, F.col("blocks") - F.coalesce("block_sum", F.lit(0.0)) / spread).otherwise(F.col("blocks")).alias("fresh"), F.when(F.col("m") > 1, (F.col("m") * spread - F.col("shape_sum")) / (F.col("m") * spread)).otherwise(1.0).alias("presentation")))
+    nodes = materialise(nodes.join(places, ["host", "path"]).select("host", "path", "m", "shapes", "doubted", "ancestors", "blocks", F.when(F.col("m") > 1, F.col("blocks") - F.coalesce("block_sum", F.lit(0.0)) / spread).otherwise(F.col("blocks")).alias("fresh"), F.when(F.col("m") > 1, (F.col("m") * spread - F.col("shape_sum")) / (F.col("m") * spread)).otherwise(1.0).alias("presentation")))
     below = nodes.where("blocks > 0").select("host", F.explode("ancestors").alias("path"), "blocks", "fresh").groupBy("host", "path").agg((F.sum("fresh") / F.sum("blocks")).alias("content"))
     share = F.pow(F.lit(DECAY), F.col("shapes"))
     joined = nodes.join(below, ["host", "path"], "left")
     importance = (1 - share) * F.col("presentation") + share * F.coalesce("content", F.lit(0.0))
-    return joined.select("host", "path", F.col("m").cast("long").alias("pages"), importance.alias("importance"), "judged")
+    return joined.select("host", "path", F.col("m").cast("long").alias("pages"), importance.alias("importance"), "doubted")
 
 
-def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in byte_slices(batch, 1, 2 << 20):
-            texts = [main_text(page or "", frozenset(noisy or ())) for page, noisy in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string())], ["page", "text"])
+def _extract(noise: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in byte_slices(batch, 1, 2 << 20):
+                texts = []
+                for page, nodes in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
+                    paths = {n["path"]: n["importance"] for n in nodes or ()}
+                    texts.append(main_text(page or "", frozenset(k for k, v in paths.items() if v < noise), paths, noise))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string())], ["page", "text"])
+
+    return run
 
 
 def _hosts() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -229,11 +309,11 @@ def extract(pages: DataFrame, noise: float = NOISE) -> DataFrame:
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     tree = style_tree(rows)
-    noisy = tree.where((F.col("importance") < noise) & (F.col("pages") >= LEAST_PAGES) & F.col("judged"))
-    noisy = small_side(materialise(noisy.groupBy("host").agg(F.collect_set("path").alias("noisy"))), 50_000)
+    telling = tree.where(((F.col("importance") < noise) | F.col("doubted")) & (F.col("pages") >= LEAST_PAGES))
+    telling = small_side(materialise(telling.groupBy("host").agg(F.collect_list(F.struct("path", "importance")).alias("nodes"))), 50_000)
     placed = rows.select("url", "page_id", "html").mapInArrow(_hosts(), "host long, url string, page_id long, html string")
-    joined = placed.join(noisy, "host", "left").select(F.struct("page_id", "url").alias("page"), "html", "noisy")
-    found = joined.mapInArrow(_extract, "page struct<page_id: long, url: string>, text string")
+    joined = placed.join(telling, "host", "left").select(F.struct("page_id", "url").alias("page"), "html", "nodes")
+    found = joined.mapInArrow(_extract(noise), "page struct<page_id: long, url: string>, text string")
     return found.select("page.page_id", "page.url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
