@@ -17,7 +17,7 @@ def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linededup.dedup_lines(read(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
+    return linededup.dedup_lines(read(spark, sf_dir, "documents"), edits=True).select("doc_id", "text", "n_lines", "n_removed")
 
 
 def op3_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
