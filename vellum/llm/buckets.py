@@ -10,8 +10,15 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
+from vellum.llm.common import materialise, small_side
+
+#: A bucket with more rows is dealt out as pairs of chunks of this size.
+CHUNK = 8000
+#: One row in so many shows which buckets are that large.
+SAMPLE = 32
 #: Up to this size all members of a bucket are compared by shifted arrays; larger ones by search.
 SMALL = 24
 
@@ -56,8 +63,9 @@ def links(keys: np.ndarray, values: np.ndarray, limit: int) -> list[tuple[np.nda
 
 
 def _linker(limit: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
+        run, here = 0, None  # buckets are numbered as they come
 
         def flush(parts: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
             if parts:
@@ -68,20 +76,52 @@ def _linker(limit: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
                     yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
         for batch in batches:
-            keys, values = (batch.column(i).to_numpy().astype(np.int64).view(np.uint64) for i in (0, 1))
-            if not len(keys):
+            if not batch.num_rows:
                 continue
-            cut = int(np.searchsorted(keys.view(np.int64), keys.view(np.int64)[-1]))  # the last bucket may go on
+            key, c, d = (batch.column(i).to_numpy() for i in range(3))
+            new = np.ones(len(key), bool)
+            new[1:] = (key[1:] != key[:-1]) | (c[1:] != c[:-1]) | (d[1:] != d[:-1])
+            same = here == (key[0], c[0], d[0])
+            run += 0 if same else 1
+            keys = run + np.cumsum(new) - 1
+            run, here = int(keys[-1]), (key[-1], c[-1], d[-1])
+            values = batch.column(3).to_numpy().astype(np.int64).view(np.uint64)
+            cut = int(np.searchsorted(keys, keys[-1]))  # the last bucket may go on
             if cut:
                 yield from flush([*held, (keys[:cut], values[:cut])])
                 held = []
             held.append((keys[cut:], values[cut:]))
         yield from flush(held)
 
-    return run
+    return search
+
+
+def in_sample(identity: list[str]) -> Column:
+    return F.pmod(F.xxhash64(*identity), F.lit(SAMPLE)) == 0
+
+
+def deal(rows: DataFrame, identity: list[str], chunk: int = CHUNK, columns: list[str] | None = None, sampled: DataFrame | None = None) -> DataFrame:
+    """``rows`` (key, ...) dealt by bucket and sorted: key, c, d and ``columns`` (the identity, if not given).
+
+    A key is one bucket (c = d = 0) unless a sample by the hash of ``identity`` shows it to have more than about ``chunk``
+    rows; then it becomes a bucket for each pair of chunks c <= d, and a row goes to all pairs of its own chunk.  The sample
+    only says how rows are dealt, not which are compared: two rows of a key meet whatever it shows.  ``sampled`` has the
+    rows of the sample, where they are cheaper to make than to pick.
+    """
+    sampled = (rows.where(in_sample(identity)) if sampled is None else sampled).groupBy("key").count()
+    hot = materialise(sampled.where(F.col("count") * SAMPLE > chunk).select("key", F.ceil(F.col("count") * SAMPLE / chunk).cast("int").alias("chunks")))
+    columns = columns or identity
+    if hot.isEmpty():
+        dealt = rows.select("key", F.lit(0).alias("c"), F.lit(0).alias("d"), *columns)
+        return dealt.repartition("key").sortWithinPartitions("key", "c", "d")
+    own = F.pmod(F.xxhash64(F.lit(1), *identity), F.coalesce("chunks", F.lit(1))).cast("int")
+    marked = rows.join(small_side(hot), "key", "left").withColumn("own", own)
+    marked = marked.withColumn("other", F.explode(F.sequence(F.lit(0), F.coalesce("chunks", F.lit(1)) - 1)))
+    dealt = marked.select("key", F.least("own", "other").alias("c"), F.greatest("own", "other").alias("d"), *columns)
+    return dealt.repartition("key", "c", "d").sortWithinPartitions("key", "c", "d")
 
 
-def link_buckets(rows: DataFrame, limit: int) -> DataFrame:
-    """Links (a, b) between fingerprints of ``rows`` (key long, fp long, distinct) in one bucket."""
-    dealt = rows.select("key", "fp").repartition("key").sortWithinPartitions("key")
+def link_buckets(fps: DataFrame, keyed: Callable[[DataFrame], DataFrame], limit: int, chunk: int = CHUNK) -> DataFrame:
+    """Links (a, b) between distinct fingerprints (fp) that share a bucket; ``keyed`` gives each its keys (key long, fp long)."""
+    dealt = deal(keyed(fps), ["fp"], chunk, sampled=keyed(fps.where(in_sample(["fp"]))))
     return dealt.mapInArrow(_linker(limit), "a long, b long").distinct()

@@ -55,14 +55,18 @@ def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
-def light_side(df: DataFrame, column: str, limit: int = 48 << 20) -> DataFrame:
-    """Mark a materialised table for broadcast if its rows and the bytes of ``column`` (binary, or an array) are counted and few."""
+def light_side(df: DataFrame, column: str, limit: int = 48 << 20, each: int = 8) -> DataFrame:
+    """Mark a materialised table for broadcast if its rows and the bytes of ``column`` are counted and few.
+
+    The column is binary, or an array of texts, binaries or parts of about ``each`` bytes.
+    """
     kind = df.schema[column].dataType
-    if kind.typeName() == "array":
-        each = (lambda s, x: s + F.length(x)) if kind.elementType.typeName() in ("binary", "string") else (lambda s, x: s + F.lit(8))
-        held = F.aggregate(column, F.lit(0).cast("long"), each)
-    else:
+    if kind.typeName() != "array":
         held = F.length(column)
+    elif kind.elementType.typeName() in ("binary", "string"):
+        held = F.aggregate(column, F.lit(0).cast("long"), lambda s, x: s + F.length(x))
+    else:
+        held = F.size(column) * F.lit(each)
     rows, size = df.agg(F.count("*"), F.sum(held)).first()
     return F.broadcast(df) if rows * 48 + (size or 0) <= limit else df
 

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.buckets import link_buckets
+from vellum.llm.buckets import CHUNK, link_buckets
 from vellum.llm.common import as_bytes, byte_slices, drop_ids, materialise, tidy
 from vellum.llm.components import components
 
@@ -117,11 +117,11 @@ def _replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(fp[whose].view(np.int64))], ["key", "fp"])
 
 
-def link_fingerprints(fps: DataFrame, distance: int = 3) -> DataFrame:
+def link_fingerprints(fps: DataFrame, distance: int = 3, chunk: int = CHUNK) -> DataFrame:
     """Links (a, b) that span the components of distinct fingerprints ``fps`` (fp) within ``distance`` <= 3 bits."""
     if distance > 3:
         raise ValueError("two parts with threshold 1 each cover up to 3 bits")
-    return link_buckets(fps.select("fp").mapInArrow(_replicate, "key long, fp long"), distance)
+    return link_buckets(fps.select("fp"), lambda rows: rows.mapInArrow(_replicate, "key long, fp long"), distance, chunk)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
