@@ -16,12 +16,11 @@ from pyspark.sql import functions as F
 
 from vellum.llm.common import materialise
 
-MAX_ROUNDS = 60
 #: Edges that one task holds at a time.
 CHUNK = 200_000
 
 
-def _stars(edges: list[tuple]) -> list[tuple]:
+def stars(edges: list[tuple]) -> list[tuple]:
     """(node, least node of its component) for the nodes of some edges, but for the least ones."""
     up: dict = {}
 
@@ -43,7 +42,7 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kind = None
 
     def done() -> Iterator[pa.RecordBatch]:
-        if held and (found := _stars(held)):
+        if held and (found := stars(held)):
             u, v = zip(*found, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(u, kind), pa.array(v, kind)], ["u", "v"])
 
@@ -92,13 +91,11 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     if before[0] <= CHUNK:
         kept = materialise(_contracted(kept.coalesce(1)))
     else:
-        for _ in range(MAX_ROUNDS):
+        while True:  # each round moves some edge's upper end to a smaller node until all edges are stars
             kept = materialise(_small_star(_large_star(_contracted(kept))))
             now = _digest(kept)
             if now == before:
                 break
             before = now
-        else:
-            raise RuntimeError("components did not settle")
     star = kept.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return star.unionByName(star.select(F.col("root").alias("node"), "root").distinct())
