@@ -9,14 +9,17 @@ importance combines that of its presentations and of all content below it:
     content(E)      = mean of 1 - log_m c            over the blocks at or below E, each in c of its node's m pages
     importance(E)   = (1 - g**l) presentation(E) + g**l content(E),   g = 0.9
 
-Branches of importance below ``NOISE`` are cut from each page of the host, inside its article as well.  HTML's own
-elements settle the clear cases whatever the host: navigation, asides, page footers and forms never count.  All else that
-hints at noise is a prior that lowers importance by a factor: a name for page furniture, a name for what varies and yet is
-none of the page's (adverts, comments), and a place outside the article or main part.  A doubted branch stays if
-its importance, so lowered, still reaches ``NOISE``; paths on too few pages count as ``UNJUDGED``.  Branches that hold the
-article (without one: most of the page's text) are not cut for their names or repetition.
-
-Pages are read twice: once for the statistics, which are summed by host and path before they are
+Importance is drawn towards ``UNJUDGED`` as if ``DOUBT`` more pages had shown that much, so that few pages say little; equal pages of a
+host count as one.  Branches of importance below ``NOISE`` are cut from each page of the host, inside its article as well.  HTML's own
+elements settle the clear cases whatever the host: navigation, asides, page headers and footers, forms and hidden parts never count,
+be they blocks or parts of a line.  All else that hints at noise is a prior that lowers importance by a factor: a class for page
+furniture, a class for what varies and yet is none of the page's (adverts, comments; lists of related pages, inside the article if most of
+their text is links), and a place outside the article or main part.  Headings have no prior, nor has an id inside the article.  A
+doubted branch stays if its importance, so lowered, still reaches ``NOISE``.  Branches that hold the
+article (without one: most of the page's text) are not cut for their names or repetition; elements inside a line are
+judged only if they have a class or id.
+
+Pages are read three times: once for equal ones, once for the statistics, which are summed by host and path before they are
 dealt out, and once to extract.  Only the noisy paths of a host and the importance of its doubted ones travel to its pages.
 """
 
@@ -36,11 +39,10 @@ from vellum.llm.common import byte_slices, materialise, small_side
 
 NOISE = 0.3
 DECAY = 0.9
-#: Paths on fewer pages of a host are not judged.
-LEAST_PAGES = 5
-#: The importance of a path that is not judged, and the factors of the priors.
-UNJUDGED = 0.5
-FURNITURE, STRANGE, OUTSIDE = 0.35, 0.2, 0.35
+#: The importance of a path that no page has shown, and how many pages that weighs as much as.
+UNJUDGED, DOUBT = 0.5, 3.0
+#: The factors of the priors.
+FURNITURE, STRANGE, OUTSIDE = 0.4, 0.2, 0.4
 # Elements of HTML by their part in a page.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style noscript template textarea title iframe xmp noembed noframes".split())
@@ -48,29 +50,34 @@ NEVER = set("head nav aside footer form button select option datalist menu dialo
 BLOCK = set("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split())
 CLOSES_P = BLOCK - {"body", "head", "html", "tbody", "td", "tfoot", "th", "thead", "tr", "caption", "legend"}
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "thead": {"tr", "td", "th"}, "tbody": {"thead", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"}}
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 SCOPES = set("ul ol dl table article main section div body".split())
 _EDGES = (r"(?<![^\s_-])(?<!\bno[_-])(?<!\bhas[_-])(?<!\bwith[_-])(?<!\bwithout[_-])(?:", r")(?=$|[\s_-])")
 _NAMED = re.compile(_EDGES[0] + r"banner|cookies?|consent|gdpr|notices?|newsletter|subscribe|subscription|popup|modal|overlay|side-?bar|breadcrumbs?|menu|nav|navbar|navigation|(?:site|page)-?footer|footer|share|sharing|social|pagination|pager|skip-?link|widget|toolbar|login|search" + _EDGES[1], re.I)
 #: Names of a heading's block, inside an article its own.
 _HEADED = re.compile(_EDGES[0] + r"masthead|(?:site|page)-?header|header" + _EDGES[1], re.I)
 #: Names of what varies from page to page and yet is no page's text.
-_STRANGE = re.compile(_EDGES[0] + r"ads?|advert\w*|sponsor\w*|promo\w*|related|recommend\w*|comments?|comment-?list|disqus|replies|respond" + _EDGES[1], re.I)
+_STRANGE = re.compile(_EDGES[0] + r"ads?|advert\w*|sponsor\w*|promo\w*|comments?|comment-?list|disqus|replies|respond" + _EDGES[1], re.I)
+#: Names of lists of other pages, if links make up most of them.
+_LISTED = re.compile(_EDGES[0] + r"related|recommend\w*" + _EDGES[1], re.I)
 _ROLES = set("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar".split())
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<[!?/][^>]*>|[^<]+|<", re.S)
 _ATTR = re.compile(r"(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 
 
 class Node:
-    """An open element: path hash, hashes of its ancestors, whether its text counts, the prior of its name, its children's tags."""
+    """An open element: path hash, hashes of its ancestors, whether its text counts, the prior of its name, its children's tags, its text in and out of links."""
 
-    __slots__ = ("ancestors", "children", "core", "label", "never", "path", "prior", "refused", "tag", "up")
+    __slots__ = ("ancestors", "children", "core", "judged", "label", "linked", "listed", "never", "path", "prior", "refused", "size", "tag", "up")
 
-    def __init__(self, tag: str, label: str, up: Node | None, refused: bool, prior: float = 1.0):
-        self.tag, self.label, self.children, self.up, self.refused, self.prior = tag, label, [], up, refused, prior
+    def __init__(self, tag: str, label: str, up: Node | None, refused: bool, prior: float = 1.0, listed: bool = False):
+        self.tag, self.label, self.children, self.up, self.refused, self.prior, self.listed = tag, label, [], up, refused, prior, listed
         self.path = xxhash.xxh64_intdigest(label, up.path if up else 0) - (1 << 63)
         self.ancestors = (*up.ancestors, self.path) if up else (self.path,)
         self.core = tag in ("article", "main") or bool(up and up.core)
         self.never = refused or bool(up and up.never)
+        self.judged = tag in BLOCK or label != tag
+        self.linked = self.size = 0
 
 
 def _line(node: Node | None) -> Iterator[Node]:
@@ -88,28 +95,29 @@ def _refused(tag: str, attrs: dict[str, str], up: Node | None) -> bool:
     return "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true" or attrs.get("role", "").lower() in _ROLES
 
 
-def _prior(tag: str, attrs: dict[str, str], up: Node | None) -> float:
-    if not attrs or tag in ("html", "body", "main"):
-        return 1.0
-    names = attrs.get("class", ""), attrs.get("id", "")
-    if any(map(_STRANGE.search, names)):
-        return STRANGE
-    if tag != "article" and (any(map(_NAMED.search, names)) or not (up and up.core) and any(map(_HEADED.search, names))):
-        return FURNITURE
-    return 1.0
+def _prior(tag: str, attrs: dict[str, str], up: Node | None) -> tuple[float, bool]:
+    """The prior of an element's names, and whether they are those of a list of other pages."""
+    if not attrs or tag in ("html", "body", "main") or tag in HEADINGS:
+        return 1.0, False
+    inside = bool(up and up.core)
+    names = (attrs.get("class", ""),) if inside else (attrs.get("class", ""), attrs.get("id", ""))
+    listed = any(map(_LISTED.search, names))
+    if any(map(_STRANGE.search, names)) or listed and not inside:
+        return STRANGE, False
+    if tag != "article" and (any(map(_NAMED.search, names)) or not inside and any(map(_HEADED.search, names))):
+        return FURNITURE, False
+    return 1.0, listed
 
 
-def walk(page: str) -> Iterator[tuple[str, Node, str]]:
-    """("open", node, "") for each element, ("text", innermost element's block node, text) for each block, in page order."""
+def walk(page: str) -> Iterator[tuple[str, Node, list[tuple[Node, str]]]]:
+    """("open", node, []) for each element; for each block of text ("text", the outermost element its pieces lie in, the pieces by element), in page order."""
     stack = [Node("", "", None, False)]
-    parts: list[str] = []
-    holder = [stack[0]]
+    parts: list[tuple[Node, str]] = []
 
-    def flush() -> Iterator[tuple[str, Node, str]]:
-        text = " ".join("".join(parts).split())
+    def flush() -> Iterator[tuple[str, Node, list[tuple[Node, str]]]]:
+        if any(text.strip() for _, text in parts):
+            yield "text", min((node for node, text in parts if text.strip()), key=lambda n: len(n.ancestors)), list(parts)
         parts.clear()
-        if text:
-            yield "text", holder[0], text
 
     at, end = 0, len(page)
     while at < end:
@@ -117,11 +125,7 @@ def walk(page: str) -> Iterator[tuple[str, Node, str]]:
         at, tag = m.end(), m[2]
         if tag is None:
             if page[m.start()] != "<" or m.end() - m.start() == 1:
-                if not parts:
-                    holder[0] = stack[-1]
-                elif len(stack[-1].ancestors) < len(holder[0].ancestors):
-                    holder[0] = stack[-1]
-                parts.append(entities.unescape(m[0]))
+                parts.append((stack[-1], entities.unescape(m[0])))
             continue
         tag = tag.lower()
         if m[1]:
@@ -145,7 +149,7 @@ def walk(page: str) -> Iterator[tuple[str, Node, str]]:
                     if stack[k].tag in ("ul", "ol", "dl", "table", "select"):
                         break
         elif tag in ("br", "wbr"):
-            parts.append(" " if tag == "br" else "")
+            parts.append((stack[-1], " " if tag == "br" else ""))
         attrs = {k.lower(): a or b or c or "" for k, a, b, c in _ATTR.findall(m[3])} if m[3] else {}
         name = (attrs.get("class", "").split() or [attrs.get("id", "")])[0]
         label = f"{tag}.{name}" if name else tag
@@ -156,33 +160,44 @@ def walk(page: str) -> Iterator[tuple[str, Node, str]]:
             close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
             at = close.end() if close else end
             continue
-        stack.append(Node(tag, label, stack[-1], _refused(tag, attrs, stack[-1]), _prior(tag, attrs, stack[-1])))
-        yield "open", stack[-1], ""
+        stack.append(Node(tag, label, stack[-1], _refused(tag, attrs, stack[-1]), *_prior(tag, attrs, stack[-1])))
+        yield "open", stack[-1], []
     yield from flush()
 
 
-def judged_nodes(page: str) -> tuple[list[Node], list[tuple[Node, str]], set[int], bool]:
+def _joined(pieces: list[tuple[Node, str]]) -> str:
+    return " ".join("".join(text for _, text in pieces).split())
+
+
+def judged_nodes(page: str) -> tuple[list[Node], list[tuple[Node, list[tuple[Node, str]]]], set[int], bool]:
     """A page's elements and its blocks that may count, the ids of the nodes that hold its main part, and whether it marks one.
 
     An article inside a branch with a doubtful name (a teaser, a comment) is the main part only if there is no other.
     """
     opened, blocks = [], []
-    for kind, node, text in walk(page):
+    for kind, node, pieces in walk(page):
         if kind == "open":
             opened.append(node)
-        elif not node.never:
-            blocks.append((node, text))
-    size: dict[int, int] = {}
-    for node, text in blocks:
-        for n in _line(node):
-            size[id(n)] = size.get(id(n), 0) + len(text)
-    cores = [n for n in opened if n.core and not n.up.core and not n.never and id(n) in size]
+        elif pieces := [(n, text) for n, text in pieces if not n.never]:
+            for n, text in pieces:
+                size = len(text.strip())
+                links = size if any(x.tag == "a" for x in _line(n)) else 0
+                for x in _line(n):
+                    x.size += size
+                    x.linked += links
+            if any(text.strip() for _, text in pieces):
+                blocks.append((node, pieces))
+    for n in opened:
+        if n.listed and 2 * n.linked > n.size:
+            n.prior = STRANGE
+    cores = [n for n in opened if n.core and not n.up.core and not n.never and n.size]
     clear = [n for n in cores if all(x.prior == 1.0 for x in _line(n))]
     if cores:
-        holds = {id(x) for n in clear or [max(cores, key=lambda n: size[id(n)])] for x in _line(n)}
+        holds = {id(x) for n in clear or [max(cores, key=lambda n: n.size)] for x in _line(n)}
     else:
-        half = sum(len(text) for _, text in blocks) / 2
-        holds = {k for k, n in size.items() if n > half}
+        total = sum(len(text.strip()) for _, pieces in blocks for _, text in pieces)
+        root = next((list(_line(n))[-1] for n, _ in blocks), None)
+        holds = {id(x) for x in [*opened, *([root] if root else [])] if 2 * x.size > total}
     return opened, blocks, holds, bool(cores)
 
 
@@ -203,7 +218,7 @@ def main_text(page: str, noisy: frozenset[int] = frozenset(), doubted: dict[int,
     known, doubted = {}, doubted or {}
 
     def own(node: Node) -> bool:
-        if id(node) in holds:
+        if id(node) in holds or not node.judged:
             return True
         factor = _factor(node, holds, core)
         return node.path not in noisy and (factor == 1.0 or doubted.get(node.path, UNJUDGED) * factor >= noise)
@@ -218,8 +233,8 @@ def main_text(page: str, noisy: frozenset[int] = frozenset(), doubted: dict[int,
                 return False
         return True
 
-    kept = [text for node, text in blocks if counts(node)]
-    return "\n\n".join(kept or [text for node, text in blocks if not core or node.core] or [text for _, text in blocks])
+    kept = (_joined([(n, text) for n, text in pieces if counts(n)]) for _, pieces in blocks)
+    return "\n\n".join(text for text in kept if text)
 
 
 def host_of(url: str | None) -> str:
@@ -233,36 +248,49 @@ def _hash(text: str) -> int:
     return xxhash.xxh64_intdigest(text) - (1 << 63)
 
 
+def _hosts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows (url, ...) with their host's hash before them."""
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array([_hash(host_of(u)) for u in batch.column(0).to_pylist()], pa.int64()), *batch.columns], ["host", *batch.schema.names])
+
+
 def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, path, shown: the page's first presentation, or block: a text's hash; ancestors once in a batch)."""
+    """(host, path, shape: the page's first presentation, or else a text's hash; the page's share; ancestors once in a batch) of (host, html, n)."""
     for batch in batches:
         for part in byte_slices(batch, 1, 2 << 20):
             rows, told = [], set()
-            for url, page in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                if not (host := host_of(url)):
-                    continue
-                host, first, blocks = _hash(host), {}, set()
+            for host, page, n in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True):
+                share, first, blocks = 1.0 / n, {}, set()
                 opened, texts, holds, core = judged_nodes(page)
-                doubtful = {n.path for n in opened if not n.never and _factor(n, holds, core) < 1.0}
+                doubtful = {x.path for x in opened if not x.never and _factor(x, holds, core) < 1.0}
                 for node in opened:
                     first.setdefault(node.path, node)
-                for node, text in texts:
-                    blocks.add((node.path, _hash(text)))
+                for node, pieces in texts:
+                    blocks.add((node.path, _hash(_joined(pieces))))
+                    for inner in {id(x): x for p, _ in pieces for x in _line(p) if x.tag not in BLOCK and x.judged and x is not node}.values():
+                        blocks.add((inner.path, _hash(_joined([(p, t) for p, t in pieces if inner in _line(p)]))))
                 for path, node in first.items():
                     new = (host, path) not in told
                     told.add((host, path))
-                    rows.append((host, path, True, _hash(" ".join(node.children)), list(node.ancestors) if new else None, path in doubtful))
-                rows += [(host, path, False, h, None, None) for path, h in blocks]
+                    rows.append((host, path, True, _hash(" ".join(node.children)), share, list(node.ancestors) if new else None, path in doubtful))
+                rows += [(host, path, False, h, share, None, None) for path, h in blocks]
             if rows:
-                types = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.list_(pa.int64()), pa.bool_()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], ["host", "path", "shape", "feature", "ancestors", "doubted"])
+                types = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.float64(), pa.list_(pa.int64()), pa.bool_()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], ["host", "path", "shape", "feature", "share", "ancestors", "doubted"])
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """(host, path, pages, importance, doubted) of every node of every host's tree; host and path are hashes."""
+    """(host, path, pages, importance, doubted) of every node of every host's tree; host and path are hashes.
+
+    Equal pages of a host count as one, each for its share.
+    """
     texts = pages.select(F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")).where("url is not null and html is not null")
-    seen = materialise(texts.mapInArrow(_statistics, "host long, path long, shape boolean, feature long, ancestors array<long>, doubted boolean"))
-    counted = seen.groupBy("host", "path", "shape", "feature").agg(F.count("*").cast("double").alias("c"))
+    keyed = texts.select("url", F.xxhash64("html").alias("page")).mapInArrow(_hosts, "host long, url string, page long").where(F.col("host") != _hash(""))
+    equal = small_side(materialise(keyed.groupBy("host", "page").agg(F.count("*").alias("n")).where("n > 1")))
+    placed = texts.select("url", "html").mapInArrow(_hosts, "host long, url string, html string").where(F.col("host") != _hash(""))
+    weighed = placed.withColumn("page", F.xxhash64("html")).join(equal, ["host", "page"], "left").select("host", "html", F.coalesce("n", F.lit(1)).alias("n"))
+    seen = materialise(weighed.mapInArrow(_statistics, "host long, path long, shape boolean, feature long, share double, ancestors array<long>, doubted boolean"))
+    counted = seen.groupBy("host", "path", "shape", "feature").agg(F.round(F.sum("share"), 6).alias("c")).withColumn("c", F.greatest("c", F.lit(1.0)))
     nodes = counted.groupBy("host", "path").agg(
         F.sum(F.when(F.col("shape"), F.col("c"))).alias("m"),
         F.count(F.when(F.col("shape"), 1)).alias("shapes"),
@@ -277,7 +305,8 @@ def style_tree(pages: DataFrame) -> DataFrame:
     share = F.pow(F.lit(DECAY), F.col("shapes"))
     joined = nodes.join(below, ["host", "path"], "left")
     importance = (1 - share) * F.col("presentation") + share * F.coalesce("content", F.lit(0.0))
-    return joined.select("host", "path", F.col("m").cast("long").alias("pages"), importance.alias("importance"), "doubted")
+    drawn = (F.col("m") * importance + DOUBT * UNJUDGED) / (F.col("m") + DOUBT)
+    return joined.select("host", "path", F.round("m").cast("long").alias("pages"), drawn.alias("importance"), "doubted")
 
 
 def _extract(noise: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -293,14 +322,6 @@ def _extract(noise: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
     return run
 
 
-def _hosts() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([_hash(host_of(u)) for u in batch.column(0).to_pylist()], pa.int64()), *batch.columns], ["host", *batch.schema.names])
-
-    return run
-
-
 def extract(pages: DataFrame, noise: float = NOISE) -> DataFrame:
     """page_id, url, text, n_chars for each row of ``pages`` (page_id, url, html; others are ignored).
 
@@ -309,9 +330,9 @@ def extract(pages: DataFrame, noise: float = NOISE) -> DataFrame:
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     tree = style_tree(rows)
-    telling = tree.where(((F.col("importance") < noise) | F.col("doubted")) & (F.col("pages") >= LEAST_PAGES))
+    telling = tree.where((F.col("importance") < noise) | F.col("doubted"))
     telling = small_side(materialise(telling.groupBy("host").agg(F.collect_list(F.struct("path", "importance")).alias("nodes"))), 50_000)
-    placed = rows.select("url", "page_id", "html").mapInArrow(_hosts(), "host long, url string, page_id long, html string")
+    placed = rows.select("url", "page_id", "html").mapInArrow(_hosts, "host long, url string, page_id long, html string")
     joined = placed.join(telling, "host", "left").select(F.struct("page_id", "url").alias("page"), "html", "nodes")
     found = joined.mapInArrow(_extract(noise), "page struct<page_id: long, url: string>, text string")
     return found.select("page.page_id", "page.url", "text", F.length("text").cast("long").alias("n_chars"))
