@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A side is broadcast up to this many rows of a few numbers each; beyond it the join shuffles.
@@ -24,9 +24,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a temporary one only where the session names none."""
+    """The folder all executors share.  Where the session names none, a temporary one if the master is local; else an error."""
     at = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="vellum-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
@@ -42,12 +44,20 @@ def _drop(spark: SparkSession, path: str) -> None:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Cut the lineage: write to the shared folder and read again."""
+    """Cut the lineage: write to the shared folder and read again.  What is left there goes when the driver ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/vellum-{uuid.uuid4().hex}"
     df.write.parquet(path)
     atexit.register(_drop, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written._vellum_path = path
+    return written
+
+
+def drop(df: DataFrame) -> None:
+    """Delete a materialised table that nothing reads any more."""
+    if path := df.__dict__.pop("_vellum_path", None):
+        _drop(df.sparkSession, path)
 
 
 def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -71,20 +81,27 @@ def light_side(df: DataFrame, column: str, limit: int = 48 << 20, each: int = 8)
     return F.broadcast(df) if rows * 48 + (size or 0) <= limit else df
 
 
-def drop_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """docs without those whose doc_id is in the materialised ``ids``; null ids stay."""
-    return docs.join(small_side(ids.select("doc_id").distinct()), "doc_id", "left_anti").select(docs.columns)
+def row_key(*columns: str) -> Column:
+    """A number for a row's id and text, by which rows that repeat an id are told apart."""
+    return F.xxhash64(*(F.col(c).cast("string") for c in columns))
+
+
+def drop_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """docs without the rows whose ``row_key`` of doc_id and text is in the materialised ``keys`` (key)."""
+    gone = small_side(keys.select(F.col("key").alias("vellum_key")).distinct())
+    return docs.join(gone, row_key("doc_id", "text") == F.col("vellum_key"), "left_anti").select(docs.columns)
 
 
-def sample_per(rows: DataFrame, group: str, key: str, most: int, groups: int) -> DataFrame:
-    """At most ``most`` rows of each of the ``groups`` most frequent groups, the first by a hash of ``key``.
+def sample_per(rows: DataFrame, group: str, key: str, most: int, total: int) -> DataFrame:
+    """At most ``most`` rows of every group and about ``total`` of all (one of each at least), the first by a hash of ``key``.
 
     ``rows`` hold a key and group once.  Only rows whose hash is small enough for their group's size are ranked (three times
     as many as are wanted), so that a very frequent group is not sorted in one task.
     """
-    counts = rows.groupBy(group).agg(F.count("*").alias("_n")).orderBy(F.desc("_n"), group).limit(groups)
+    counts = materialise(rows.groupBy(group).agg(F.count("*").alias("_n")))
+    most = max(1, min(most, total // max(1, counts.count())))
     share = F.pmod(F.xxhash64(key), F.lit(1 << 40)) / float(1 << 40)
-    near = rows.join(F.broadcast(counts), group).where(share < (3.0 * most) / F.col("_n"))
+    near = rows.join(small_side(counts), group).where(share < (3.0 * most + 20) / F.col("_n"))
     order = Window.partitionBy(group).orderBy(share, key)
     return near.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= most).select(key, group)
 

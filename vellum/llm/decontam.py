@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vellum.llm.common import BROADCAST_ROWS, drop_ids, materialise, small_side
+from vellum.llm.common import drop_rows, materialise, row_key, small_side
 
 WIDTH = 5
 THRESHOLD = 0.8
@@ -26,12 +26,22 @@ def words(text: Column) -> Column:
     return F.when(F.length(flat) > 0, F.split(flat, " ")).otherwise(F.array().cast("array<string>"))
 
 
-def _shingles(rows: DataFrame, width: int, keep: list[str], hashed: bool) -> DataFrame:
-    """``keep``, n (shingles of the row, repeats included) and shingle (text) or h (its hash), a row for each position."""
-    counted = rows.withColumn("n", F.size("words") - (width - 1)).where("n > 0")
-    each = counted.select(*keep, "words", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("at"))
-    parts = [F.col("words").getItem(F.col("at") + i) for i in range(width)]
-    return each.select(*keep, "n", F.xxhash64(*parts).alias("h") if hashed else F.concat_ws(" ", *parts).alias("shingle"))
+def _shingles(rows: DataFrame, widths: list[int], hashed: bool) -> DataFrame:
+    """doc_id, width, n (shingles of that width, repeats included) and shingle (text) or h (its hash), a row for each position and width.
+
+    The words of a row are taken once for all widths.
+    """
+    counted = rows.withColumn("size", F.size("words")).where(F.col("size") >= widths[0])
+    each = counted.select("doc_id", "words", "size", F.explode(F.sequence(F.lit(0), F.col("size") - widths[0])).alias("at"))
+    found = []
+    for w in widths:
+        parts = [F.get("words", F.col("at") + i) for i in range(w)]
+        own = F.xxhash64(*parts).alias("h") if hashed else F.concat_ws(" ", *parts).alias("shingle")
+        found.append((F.col("at") + w <= F.col("size"), F.struct(F.lit(w).alias("width"), (F.col("size") - (w - 1)).alias("n"), own)))
+    if len(widths) == 1:
+        return each.select("doc_id", found[0][1].alias("s")).select("doc_id", "s.*")
+    spread = each.select("doc_id", F.explode(F.array(*(F.when(whole, one) for whole, one in found))).alias("s"))
+    return spread.where("s is not null").select("doc_id", "s.*")
 
 
 def item_shingles(items: DataFrame, width: int) -> DataFrame:
@@ -69,30 +79,29 @@ def contained(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, w
     shingles = materialise(item_shingles(items, width))
     widths = sorted(r.width for r in shingles.select("width").distinct().collect())  # at most `width` values
     spelled = docs.select("doc_id", words(F.col("text")).alias("words"))
-    found = None
-    for w in widths:
-        own = shingles.where(F.col("width") == w)
-        drawn = materialise(sketches(own, w, threshold))
-        hashed = _shingles(spelled, w, ["doc_id"], hashed=True)
-        met = hashed.join(small_side(drawn, BROADCAST_ROWS), "h").where(F.col("n") >= F.ceil(F.col("size") * threshold - 1e-9))
-        some = met.select("doc_id", "item_id").distinct()
-        found = some if found is None else found.unionByName(some)
-    if found is None:
+    if not widths:
         return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, n_shared long, n_shingles long, containment double")
-    candidates = materialise(found.distinct())
-    near = docs.join(small_side(candidates.select("doc_id").distinct()), "doc_id", "left_semi").select("doc_id", words(F.col("text")).alias("words"))
-    shared = None
+    drawn = None
     for w in widths:
-        own = shingles.where(F.col("width") == w).select("item_id", "shingle", "size")
-        exact = _shingles(near, w, ["doc_id"], hashed=False).select("doc_id", "shingle").join(small_side(own), "shingle").select("doc_id", "item_id", "size", "shingle").distinct()
-        shared = exact if shared is None else shared.unionByName(exact)
+        own = sketches(shingles.where(F.col("width") == w), w, threshold).withColumn("width", F.lit(w))
+        drawn = own if drawn is None else drawn.unionByName(own)
+    hashed = _shingles(spelled, widths, hashed=True)
+    met = hashed.join(small_side(materialise(drawn)), ["width", "h"]).where(F.col("n") >= F.ceil(F.col("size") * threshold - 1e-9))
+    candidates = materialise(met.select("doc_id", "item_id").distinct())
+    near = docs.join(small_side(candidates.select("doc_id").distinct()), "doc_id", "left_semi").select("doc_id", words(F.col("text")).alias("words"))
+    own = small_side(shingles.select("item_id", "width", "shingle", "size"))
+    shared = _shingles(near, widths, hashed=False).select("doc_id", "width", "shingle").join(own, ["width", "shingle"]).select("doc_id", "item_id", "size", "shingle").distinct()
     held = shared.join(small_side(candidates), ["doc_id", "item_id"], "left_semi").groupBy("doc_id", "item_id").agg(F.count("*").alias("n_shared"), F.max("size").alias("n_shingles"))
     return held.withColumn("containment", F.col("n_shared") / F.col("n_shingles")).where(F.col("containment") >= threshold - 1e-9)
 
 
 def remove_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item."""
-    return drop_ids(docs, materialise(contained(docs, items).select("doc_id").distinct()))
+    """The rows of ``docs`` that hold no benchmark item.
+
+    Rows are judged one by one, whether they repeat an id or have none; null texts stay.  Columns stay as they are.
+    """
+    keyed = docs.select(row_key("doc_id", "text").alias("doc_id"), "text")
+    return drop_rows(docs, materialise(contained(keyed, items).select(F.col("doc_id").alias("key")).distinct()))
 
 
 ORACLE = r"""

@@ -4,7 +4,7 @@ First the family of languages, by linear SVMs (one against the rest; with two fa
 then, within the family, linear SVMs for each pair of its languages, which vote.  Features are hashed
 pairs and triples of letters of the whole text.  The machines are fitted on the driver on a bounded
 sample: at most ``PER_LANG`` labelled documents of each language (the first in the order of a hash of
-the id) and ``MAX_LANGS`` languages (the most frequent).  Language, source and id are never inputs of a
+the id) and ``SAMPLE`` of all, so fewer of each where there are many; every language with a label is learned.  Language, source and id are never inputs of a
 prediction.
 """
 
@@ -17,13 +17,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from vellum.llm.common import byte_slices, sample_per, tidy
 from vellum.llm.svm import decide, features, has_letter, train_svm
 
 PER_LANG = 250
-MAX_LANGS = 64
+SAMPLE = 6000
 UNKNOWN = "und"
+#: A row of the pipeline with a lower score is in no learned language.
+LEAST_SCORE = 0.2
 # Language families by ISO 639-1 code.  A language that is not here is a family of its own.
 FAMILIES = {
     "germanic": ["en", "de", "nl", "sv", "da", "no", "is", "af", "lb"],
@@ -39,10 +42,10 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
 
 
-def sample(docs: DataFrame, per_lang: int = PER_LANG, max_langs: int = MAX_LANGS) -> DataFrame:
+def sample(docs: DataFrame, per_lang: int = PER_LANG, total: int = SAMPLE) -> DataFrame:
     """(lang, text) of the bounded training sample; ids are chosen first, without reading texts."""
     ids = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")) & (F.col("lang") != UNKNOWN))
-    chosen = sample_per(ids.select("doc_id", "lang").distinct(), "lang", "doc_id", per_lang, max_langs)
+    chosen = sample_per(ids.select("doc_id", "lang").distinct(), "lang", "doc_id", per_lang, total)
     rows = docs.select("doc_id", "text", "lang").where("text is not null and lang is not null").join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").select("doc_id", "text", "lang")
     return rows
 
@@ -100,9 +103,9 @@ class Model:
         return out, np.clip(score, 0, 1)
 
 
-def train(docs: DataFrame, per_lang: int = PER_LANG, max_langs: int = MAX_LANGS) -> Model:
-    rows = sample(docs, per_lang, max_langs).mapInArrow(tidy(_train_features), "doc_id long, lang string, x binary")
-    # At most per_lang * max_langs rows of a fixed width reach the driver, repeated rows or not.
+def train(docs: DataFrame, per_lang: int = PER_LANG, total: int = SAMPLE) -> Model:
+    rows = sample(docs, per_lang, total).mapInArrow(tidy(_train_features), "doc_id long, lang string, x binary")
+    # About ``total`` rows of a fixed width reach the driver (one for each language at least), repeated rows or not.
     rows = rows.groupBy("doc_id", "lang").agg(F.min("x").alias("x")).orderBy("lang", "doc_id").collect()
     x = np.stack([np.frombuffer(r.x, np.float16) for r in rows], dtype=np.float32) if rows else np.zeros((0, 1), np.float32)
     return Model([r.lang for r in rows], x)
@@ -124,6 +127,38 @@ def _predictor(model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
     return run
 
 
+def _annotator(model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows as they come, with the language and score of the text in their last column instead of that text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            last = batch.num_columns - 1
+            asked = pa.RecordBatch.from_arrays([pa.array(range(batch.num_rows), pa.int64()), batch.column(last), pa.nulls(batch.num_rows, pa.bool_())], ["doc_id", "text", "held_out"])
+            found = list(_predictor(model)(iter([asked]))) if batch.num_rows else []
+            for part in found:
+                start, n = part.column(0)[0].as_py(), part.num_rows
+                rows = batch.slice(start, n)
+                yield pa.RecordBatch.from_arrays([*rows.columns[:last], part.column(1), part.column(2)], [*batch.schema.names[:last], "vellum_lang", "vellum_score"])
+
+    return run
+
+
+def known_language(docs: DataFrame, least: float = LEAST_SCORE, per_lang: int = PER_LANG) -> DataFrame:
+    """The rows of ``docs`` whose language is told with a score of at least ``least``, each judged by itself.
+
+    Rows without text or without a letter go.  If no language can be learned, no other row goes.  Columns, null ids and
+    repeated rows stay as they are.
+    """
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    fitted = train(texts, per_lang)
+    if not fitted.langs:
+        return docs.where(F.coalesce(F.col("text").cast("string").rlike(r"\p{L}"), F.lit(False)))
+    model = docs.sparkSession.sparkContext.broadcast(fitted)
+    schema = StructType([*docs.schema.fields, StructField("vellum_lang", StringType()), StructField("vellum_score", DoubleType())])
+    told = docs.withColumn("vellum_text", F.col("text").cast("string")).mapInArrow(tidy(_annotator(model)), schema)
+    return told.where((F.col("vellum_lang") != UNKNOWN) & (F.col("vellum_score") >= least)).select(docs.columns)
+
+
 def identify(docs: DataFrame, per_lang: int = PER_LANG) -> DataFrame:
     """doc_id, held_out, lang_pred, score for each row of ``docs`` (doc_id, text, lang; others are ignored).
 

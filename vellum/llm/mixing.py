@@ -8,7 +8,7 @@ number for each domain, summed over all documents by a Spark job; a document's r
 posterior and the steps so far, so nothing of a document's size is ever gathered.
 
 The classifier (multinomial logistic regression) is fitted on a bounded sample: at most ``PER_DOMAIN``
-labelled documents of each domain, the first in the order of a hash of the id.
+labelled documents of each domain, the first in the order of a hash of the id, and ``SAMPLE`` of all; every domain with a label is learned.
 """
 
 from __future__ import annotations
@@ -19,13 +19,13 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import as_bytes, byte_slices, materialise, sample_per, small_side, tidy
+from vellum.llm.common import as_bytes, byte_slices, materialise, row_key, sample_per, small_side, tidy
 
 PER_DOMAIN = 400
-MAX_DOMAINS = 64
+SAMPLE = 4800
 #: Hash buckets for byte pairs and for words.
 PAIRS, WORDS = 2048, 8192
 #: Documents whose features are held at once, however short they are.
@@ -100,10 +100,10 @@ def domain_of(labels: DataFrame) -> DataFrame:
 
 def learn(docs: DataFrame, labels: DataFrame, per_domain: int = PER_DOMAIN) -> Domains:
     known = domain_of(labels)
-    chosen = sample_per(known, "domain", "doc_id", per_domain, MAX_DOMAINS)
-    shares = {r.domain: r["count"] for r in known.groupBy("domain").count().orderBy(F.desc("count"), "domain").limit(MAX_DOMAINS).collect()}
+    chosen = sample_per(known, "domain", "doc_id", per_domain, SAMPLE)
+    shares = {r.domain: r["count"] for r in known.groupBy("domain").count().collect()}  # a row a domain
     rows = docs.where("text is not null").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "domain").mapInArrow(tidy(_sample_features), "doc_id long, domain string, x binary")
-    rows = rows.groupBy("doc_id", "domain").agg(F.min("x").alias("x")).orderBy("domain", "doc_id").collect()  # at most per_domain * MAX_DOMAINS
+    rows = rows.groupBy("doc_id", "domain").agg(F.min("x").alias("x")).orderBy("domain", "doc_id").collect()  # about SAMPLE
     names = sorted({r.domain for r in rows})
     if len(names) < 2:
         return Domains(names or ["all"], None)
@@ -176,22 +176,36 @@ def metric(second: np.ndarray) -> np.ndarray:
     return np.linalg.inv(second + 1e-6 * np.eye(len(second)))
 
 
+def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tokens, and the token-weighted second moments of the posteriors, of a task's rows."""
+    tokens, second = 0.0, 0.0
+    for batch in batches:
+        if batch.num_rows:
+            n, p = batch.column(0).to_numpy().astype(float), _posteriors(batch, 1)
+            tokens, second = tokens + n.sum(), second + (p * n[:, None]).T @ p
+    if not np.isscalar(second):
+        yield pa.RecordBatch.from_arrays([pa.array([[tokens, *second.ravel()]], pa.list_(pa.float64()))], ["t"])
+
+
+def _summed(rows: DataFrame, work: Callable) -> np.ndarray:
+    """The tasks' arrays added up, number by number."""
+    parts = rows.mapInArrow(work, "t array<double>").select(F.posexplode("t").alias("i", "x"))
+    return np.array([r.x for r in parts.groupBy("i").agg(F.sum("x").alias("x")).orderBy("i").collect()])
+
+
 def solve(members: DataFrame, names: list[str], targets: dict[str, float], budget: float, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Steps of the projected gradient, the totals reached and the totals wanted, by domain."""
     d = len(names)
-    p = [F.col("posterior")[i] for i in range(d)]
-    moments = members.agg(F.sum(F.col("n_tokens").cast("double")), *[F.sum(F.col("n_tokens") * p[i] * p[j]) for i in range(d) for j in range(d)]).first()
-    tokens = moments[0] or 0.0
+    rows = members.select("n_tokens", "posterior")
+    moments = _summed(rows, _moments)
+    tokens = float(moments[0]) if len(moments) else 0.0
     want = targets_of(names, targets, tokens * budget)
     steps = np.zeros((0, d))
     if not tokens:
         return steps, np.zeros(d), want
-    second = np.array(moments[1:], float).reshape(d, d) / tokens
-    weight = metric(second)
-    rows = members.select("n_tokens", "posterior")
+    weight = metric(moments[1:].reshape(d, d) / tokens)
     for _ in range(rounds + 1):
-        parts = rows.mapInArrow(_totals(steps), "t array<double>")
-        reached = np.array([x or 0.0 for x in parts.agg(*[F.sum(F.col("t")[i]) for i in range(d)]).first()])
+        reached = _summed(rows, _totals(steps))
         error = (reached - want) / tokens
         if len(steps) == rounds or np.abs(error).max() < TOLERANCE:
             break
@@ -199,17 +213,18 @@ def solve(members: DataFrame, names: list[str], targets: dict[str, float], budge
     return steps, reached, want
 
 
-def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, budget: float = BUDGET, per_domain: int = PER_DOMAIN, rounds: int = ROUNDS) -> DataFrame:
+def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, budget: float = BUDGET, per_domain: int = PER_DOMAIN, rounds: int = ROUNDS, key: Column | None = None) -> DataFrame:
     """doc_id, n_tokens (words), domain (the likeliest), posterior (by domain name), rate for each row of ``docs``.
 
     Null and empty texts have no tokens; their rate follows from the posterior all the same.  If no two
     domains can be learned, all belongs to one domain.  Repeated rows and null ids give a row each; only
-    doc_id and text are read.
+    doc_id and text are read.  With ``key`` that column stands in for doc_id in the result.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    model = learn(docs, labels, per_domain)
+    key = F.col("doc_id").cast("long") if key is None else key
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), key.alias("key"))
+    model = learn(docs.select("doc_id", "text"), labels, per_domain)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    members = materialise(docs.mapInArrow(tidy(_member(shared)), "doc_id long, n_tokens long, posterior array<double>"))
+    members = materialise(docs.select(F.col("key").alias("doc_id"), "text").mapInArrow(tidy(_member(shared)), "doc_id long, n_tokens long, posterior array<double>"))
     steps, _, _ = solve(members, model.names, TARGETS if targets is None else targets, budget, rounds)
     rated = members.mapInArrow(_rated(steps), "doc_id long, n_tokens long, posterior array<double>, rate double")
     names = F.array(*map(F.lit, model.names))
@@ -218,8 +233,12 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
 
 
 def mixed(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` with the column rate; documents whose rate is zero go.  Rows with a null id get rate 1."""
-    found = mix(docs, labels).where("doc_id is not null").groupBy("doc_id").agg(F.min("rate").alias("rate"))
-    found = small_side(materialise(found.withColumnRenamed("doc_id", "vellum_doc")))
-    joined = docs.drop("rate").join(found, F.col("doc_id").cast("long") == F.col("vellum_doc"), "left").drop("vellum_doc")
-    return joined.withColumn("rate", F.coalesce("rate", F.lit(1.0))).where("rate > 0")
+    """``docs`` with the column rate; rows whose rate is zero go.
+
+    Rows are judged one by one: rows that repeat an id have the rate of their own text, rows without an id too.  A column
+    named rate is replaced; other columns stay.  An empty table gives no rows.
+    """
+    found = mix(docs, labels, key=row_key("doc_id", "text")).groupBy("doc_id").agg(F.min("rate").alias("rate"))
+    found = small_side(materialise(found.withColumnRenamed("doc_id", "vellum_key")))
+    joined = docs.drop("rate").join(found, row_key("doc_id", "text") == F.col("vellum_key")).drop("vellum_key")
+    return joined.where("rate > 0")

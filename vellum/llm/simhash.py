@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vellum.llm.buckets import CHUNK, link_buckets
-from vellum.llm.common import as_bytes, byte_slices, drop_ids, materialise, tidy
+from vellum.llm.common import as_bytes, byte_slices, drop_rows, materialise, row_key, tidy
 from vellum.llm.components import components
 
 PART_BITS = 31
@@ -72,7 +72,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         for part in byte_slices(batch, 1, 2 << 20):
             marks = np.fromiter(map(fingerprint, as_bytes(part.column(1))), np.uint64, part.num_rows)
-            yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), pa.array(marks.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(marks.view(np.int64))], ["doc", "fp"])
 
 
 def _syndrome_table() -> np.ndarray:
@@ -124,24 +124,37 @@ def link_fingerprints(fps: DataFrame, distance: int = 3, chunk: int = CHUNK) ->
     return link_buckets(fps.select("fp"), lambda rows: rows.mapInArrow(_replicate, "key long, fp long"), distance, chunk)
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _components(docs: DataFrame, chunk: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, key, fp) of the rows of ``docs`` (doc_id, text, key), and (fp, component_id)."""
+    rows = docs.select(F.struct("doc_id", "key").alias("doc"), "text")
+    marked = rows.mapInArrow(tidy(_fingerprints), "doc struct<doc_id: long, key: long>, fp long")
+    marked = materialise(marked.select("doc.doc_id", "doc.key", "fp"))
+    distinct = materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    linked = components(link_fingerprints(distinct, chunk=chunk), "a", "b")
+    rooted = distinct.join(linked, distinct.fp == linked.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    rooted = materialise(rooted)
+    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    return marked, rooted.join(least, "root").select("fp", "component_id")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
     """doc_id, fingerprint, component_id for each row of ``docs``.
 
     Null and empty texts have fingerprint zero and link like any other.  Repeated rows give repeated
     results; rows whose id is null get a fingerprint and the least non-null id they reach (null if
     none).  Other columns are ignored.  An empty table gives no rows.
     """
-    marked = materialise(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(tidy(_fingerprints), "doc_id long, fp long"))
-    distinct = materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    linked = components(link_fingerprints(distinct), "a", "b")
-    rooted = distinct.join(linked, distinct.fp == linked.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    rooted = materialise(rooted)
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
+    marked, named = _components(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.lit(None).cast("long").alias("key")), chunk)
     return marked.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without the near copies of a document with a smaller id."""
-    found = near_duplicates(docs)
-    return drop_ids(docs, materialise(found.where("doc_id > component_id").select("doc_id")))
+    """The rows of ``docs`` without the near copies of a document with a smaller id.
+
+    Rows are judged one by one: of rows that repeat an id those go whose own text is such a copy; rows that repeat the kept
+    document's id stay with it.  Rows without an id stay, and others as copies of them only if a smaller id is among these.
+    Null and empty texts are copies of each other.  Columns stay as they are.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), row_key("doc_id", "text").alias("key"))
+    marked, named = _components(rows, CHUNK)
+    return drop_rows(docs, materialise(marked.join(named, "fp").where("doc_id > component_id").select("key").distinct()))
