@@ -6,9 +6,11 @@ import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vellum.sources.scratch import written
+
 #: Target, anchor, separator (escaped in table rows) and words of a link; links don't nest.
 WIKILINK = r"\[\[([^\[\]|#\\]+)(#[^\[\]|\\]*)?(?:(\\?\|)([^\[\]]*))?\]\]"
 _LINK = re.compile(WIKILINK)
@@ -129,21 +131,33 @@ def capped_links(rows: DataFrame, links: str, most: int = 20) -> DataFrame:
     return rows.withColumn(links, F.slice(links, 1, most))
 
 
-def has_cycle(spark: SparkSession, edges: DataFrame, depth: int = 50) -> bool:
-    """Whether a walk along (src, dst) of at most ``depth`` steps comes back to where it began."""
-    edges.createOrReplaceTempView("vellum_edges")
-    walks = spark.sql(f"WITH RECURSIVE walk(start, at, steps) AS (SELECT src, dst, 1 FROM vellum_edges UNION ALL SELECT start, e.dst, steps + 1 FROM walk JOIN vellum_edges e ON e.src = at WHERE at <> start AND steps < {depth}) SELECT 1 FROM walk WHERE start = at LIMIT 1")
-    return len(walks.take(1)) > 0
-
-
-def transclusions(spark: SparkSession, edges: DataFrame, roots: DataFrame, depth: int = 20) -> DataFrame:
-    """(root, page, path, cyclic): all that a page includes, step by step; a page met again ends its path."""
-    edges.createOrReplaceTempView("vellum_includes")
-    roots.createOrReplaceTempView("vellum_roots")
-    return spark.sql(f"""WITH RECURSIVE inc(root, page, path, cyclic, steps) AS (
-        SELECT page, page, array(page), false, 0 FROM vellum_roots
-        UNION ALL SELECT root, e.dst, array_append(path, e.dst), array_contains(path, e.dst), steps + 1 FROM inc JOIN vellum_includes e ON e.src = inc.page WHERE NOT cyclic AND steps < {depth})
-        SELECT root, page, path, cyclic FROM inc""")
+def cyclic_core(edges: DataFrame) -> DataFrame:
+    """The edges (src, dst) that lie on cycles or between them: what is left when nodes that nothing leads to, or from, are peeled off
+    until none is found.  Of a graph without a cycle nothing is left, however deep it is."""
+    left, before = written(edges.select("src", "dst").where("src is not null and dst is not null").distinct()), -1
+    count = left.count()
+    while 0 < count != before:
+        led_to, led_from = left.select(F.col("dst").alias("src")).distinct(), left.select(F.col("src").alias("dst")).distinct()
+        left = written(left.join(led_to, "src", "left_semi").join(led_from, "dst", "left_semi").select("src", "dst"))
+        before, count = count, left.count()
+    return left
+
+
+def has_cycle(edges: DataFrame) -> bool:
+    """Whether some walk along (src, dst) comes back to where it began."""
+    return not cyclic_core(edges).isEmpty()
+
+
+def transclusions(edges: DataFrame, roots: DataFrame) -> DataFrame:
+    """(root, page, path, cyclic): all that a page includes, step by step, to any depth; a page met again ends its path."""
+    includes = written(edges.select("src", "dst").distinct())
+    step = written(roots.select(F.col("page").alias("root"), "page", F.array("page").alias("path"), F.lit(False).alias("cyclic")))
+    found = step
+    while not step.isEmpty():  # paths hold no page twice but at their end, so they end
+        ahead = step.where("not cyclic").join(includes, F.col("page") == F.col("src"))
+        step = written(ahead.select("root", F.col("dst").alias("page"), F.array_append("path", F.col("dst")).alias("path"), F.array_contains("path", F.col("dst")).alias("cyclic")))
+        found = found.unionByName(step)
+    return found
 
 
 def trie(paths: DataFrame, path: str) -> DataFrame:

@@ -6,7 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vellum.functions import text as T
+from vellum.sources.scratch import small, written
 
+#: Pages that end before this row are read through a limit.
+NEAR = 10_000
 # Order of the tag axes.
 AXES = ("topos", "archetype", "motif", "concept", "form", "histref", "setting", "character")
 
@@ -65,21 +68,35 @@ def toc_order(chapter: str, position: str) -> list[Column]:
 
 
 def numbered(rows: DataFrame, order: list[Column], group: str | None = None) -> DataFrame:
-    """Rows with their place (``pos``, from 1); within a group if one is given."""
-    window = Window.partitionBy(group).orderBy(*order) if group else Window.orderBy(*order)
-    return rows.withColumn("pos", F.row_number().over(window).cast("long"))
+    """Rows with their place (``pos``, from 1); within a group if one is given.
+
+    Rows are sorted into ranges over all tasks, by group first, so that no task holds a whole group; a place is the
+    one inside the range and what lies in the ranges before it, from counts by group and range.
+    """
+    by = [F.col(group).asc()] if group else []
+    keyed = rows.withColumn("_g", F.struct(F.col(group).alias("g")) if group else F.struct(F.lit(0).alias("g")))
+    at = F.monotonically_increasing_id()
+    held = written(keyed.orderBy(*by, *order).withColumns({"_part": F.spark_partition_id(), "_at": at.bitwiseAND(F.lit((1 << 33) - 1))}))
+    counts = held.groupBy("_g", "_part").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("_g").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))  # a row for each range
+    starts = written(counts.select("_g", "_part", "_first", F.coalesce(before, F.lit(0)).alias("_before")))
+    placed = held.join(small(starts), ["_g", "_part"])
+    return placed.select(*rows.columns, (F.col("_at") - F.col("_first") + F.col("_before") + 1).alias("pos"))
 
 
 def page(rows: DataFrame, order: list[Column], size: int, number: int) -> DataFrame:
     """The rows of a page; size 0 shows all, and a page beyond the last (or before the first) becomes the last (first).
 
-    Sorting stops at the page's end: a limit on an ordered frame keeps only so many rows of each partition.
+    The first pages sort no further than their end: a limit on an ordered frame keeps only so many rows of each
+    partition.  Pages further on are cut from the places of all rows.
     """
     if size <= 0:
         return rows.orderBy(*order)
     pages = max(1, -(-rows.count() // size))
     number = min(max(number, 0), pages - 1)
-    return rows.orderBy(*order).offset(number * size).limit(size)
+    if (number + 1) * size <= NEAR:
+        return rows.orderBy(*order).offset(number * size).limit(size)
+    return numbered(rows, order).where(F.col("pos").between(number * size + 1, (number + 1) * size)).orderBy("pos").drop("pos")
 
 
 def pager(pages: int, current: int, around: int = 2) -> list[int]:

@@ -58,28 +58,27 @@ def agg_tag_prefix_rollup(spark, sf_dir):
     return A.tag_rollup(notes(spark, sf_dir), "tags")
 
 
-@query("agg_score_map", "WITH q AS (SELECT embedding AS q FROM embeddings WHERE vec_id = 0), hit AS (SELECT 'w' || (vec_id // 4) || CASE WHEN vec_id % 4 > 0 THEN '#' || vec_id ELSE '' END AS id, list_dot_product(q::DOUBLE[], embedding::DOUBLE[]) AS s FROM embeddings, q ORDER BY s DESC, vec_id LIMIT 300) SELECT id, round(max(s), 6) AS score FROM (SELECT id, s FROM hit UNION ALL SELECT split_part(id, '#', 1), s FROM hit) GROUP BY id")
+@query("agg_score_map", "WITH s AS (SELECT q.vec_id AS qid, e.vec_id, list_dot_product(q.embedding::DOUBLE[], e.embedding::DOUBLE[]) AS s FROM embeddings e, embeddings q WHERE q.vec_id % 100 = 0), hit AS (SELECT qid, 'w' || (vec_id // 4) || CASE WHEN vec_id % 4 > 0 THEN '#' || vec_id ELSE '' END AS id, s, row_number() OVER (PARTITION BY qid ORDER BY round(s, 9) DESC, vec_id) AS r FROM s) SELECT qid, id, round(max(s), 6) AS score FROM (SELECT qid, id, s FROM hit WHERE r <= 3000 UNION ALL SELECT qid, split_part(id, '#', 1), s FROM hit WHERE r <= 3000) GROUP BY qid, id")
 def agg_score_map(spark, sf_dir):
-    from vellum.operators.joins import dot
+    from vellum.operators.joins import top_by_product
+    from vellum.plans.joins import asked
 
-    rows = table(spark, sf_dir, "embeddings")
-    asked = rows.where("vec_id = 0").select(F.col("embedding").alias("q"))
-    part = F.when(F.col("vec_id") % 4 > 0, F.concat(F.lit("#"), F.col("vec_id").cast("string"))).otherwise("")
-    scored = rows.crossJoin(F.broadcast(asked)).select("vec_id", F.concat(F.lit("w"), F.floor(F.col("vec_id") / 4).cast("string"), part).alias("id"), dot(F.col("q"), F.col("embedding")).alias("s"))
-    hits = scored.orderBy(F.desc("s"), "vec_id").limit(300).select(F.explode(F.array_distinct(F.array("id", F.split_part("id", F.lit("#"), F.lit(1))))).alias("id"), "s")
-    return hits.groupBy("id").agg(F.round(F.max("s"), 6).alias("score"))
+    part = F.when(F.col("id") % 4 > 0, F.concat(F.lit("#"), F.col("id").cast("string"))).otherwise("")
+    hits = top_by_product(*asked(spark, sf_dir), 3000).select("qid", F.concat(F.lit("w"), F.floor(F.col("id") / 4).cast("string"), part).alias("id"), "score")
+    each = hits.select("qid", F.explode(F.array_distinct(F.array("id", F.split_part("id", F.lit("#"), F.lit(1))))).alias("id"), "score")
+    return each.groupBy("qid", "id").agg(F.round(F.max("score"), 6).alias("score"))
 
 
-@query("agg_author_footprint", f"WITH {PROFILE} SELECT author, words, vocabulary, round(vocabulary / sqrt(words), 4) AS rttr, sentences, round(words / sentences, 4) AS avg_sentence, syllables, complex FROM profile JOIN sent USING (author)")
+@query("agg_author_footprint", f"WITH {PROFILE} SELECT author, words, vocabulary, round(vocabulary / sqrt(words), 1) AS rttr, sentences, round(words / sentences, 1) AS avg_sentence, syllables, complex FROM profile JOIN sent USING (author)")
 def agg_author_footprint(spark, sf_dir):
     stats = A.profile(docs(spark, sf_dir), "source", "text")
-    return stats.select(F.col("source").alias("author"), "words", "vocabulary", F.round(F.col("vocabulary") / F.sqrt("words"), 4).alias("rttr"), "sentences", F.round(F.col("words") / F.col("sentences"), 4).alias("avg_sentence"), "syllables", F.col("complex").cast("long").alias("complex"))
+    return stats.select(F.col("source").alias("author"), "words", "vocabulary", F.round(F.col("vocabulary") / F.sqrt("words"), 1).alias("rttr"), "sentences", F.round(F.col("words") / F.col("sentences"), 1).alias("avg_sentence"), "syllables", F.col("complex").cast("long").alias("complex"))
 
 
-@query("agg_readability", f"WITH {PROFILE} SELECT author, round(206.835 - 1.015 * (words / sentences) - 84.6 * (syllables / words), 4) AS flesch, round(0.39 * (words / sentences) + 11.8 * (syllables / words) - 15.59, 4) AS fk_grade, round(0.4 * (words / sentences + 100 * (complex / words)), 4) AS fog FROM profile JOIN sent USING (author)")
+@query("agg_readability", f"WITH {PROFILE} SELECT author, round(206.835 - 1.015 * (words / sentences) - 84.6 * (syllables / words), 1) AS flesch, round(0.39 * (words / sentences) + 11.8 * (syllables / words) - 15.59, 1) AS fk_grade, round(0.4 * (words / sentences + 100 * (complex / words)), 1) AS fog FROM profile JOIN sent USING (author)")
 def agg_readability(spark, sf_dir):
     stats = A.readability(A.profile(docs(spark, sf_dir), "source", "text"))
-    return stats.select(F.col("source").alias("author"), *[F.round(c, 4).alias(c) for c in ("flesch", "fk_grade", "fog")])
+    return stats.select(F.col("source").alias("author"), *[F.round(c, 1).alias(c) for c in ("flesch", "fk_grade", "fog")])
 
 
 @query("agg_distinctive", f"WITH w AS (SELECT source AS author, term, count(*) AS tf FROM (SELECT source, unnest(list_filter({WORDS_SQL}, lambda w: NOT list_contains({PROFILE_STOP_SQL}, w))) AS term FROM documents) GROUP BY ALL), d AS (SELECT term, count(*) AS df FROM w GROUP BY term), r AS (SELECT author, term, tf * ln(n / df) AS score, row_number() OVER (PARTITION BY author ORDER BY round(tf * ln(n / df), 9) DESC, term) AS rank FROM w JOIN d USING (term), (SELECT count(DISTINCT source) AS n FROM documents)) SELECT author, rank, term, round(score, 6) AS score FROM r WHERE rank <= 30")
@@ -175,11 +174,12 @@ def agg_gutenberg_report(spark, sf_dir):
     return rows.groupBy("author").agg(F.count("*").alias("files"), F.sum("removed").alias("removed")).orderBy(F.desc("removed"), "author").limit(8)
 
 
-@query("agg_merge_tier", f"WITH {NOTES}, delta AS (SELECT slug, substr(content, 1, 80) AS content FROM notes WHERE lang = 'en') SELECT coalesce(o.slug, d.slug) AS slug, o.title, coalesce(d.content, o.content) AS content FROM (SELECT slug, title, substr(content, 1, 20) AS content FROM notes WHERE doc_id % 2 = 0) o FULL JOIN delta d ON d.slug = o.slug")
+@query("agg_merge_tier", f"WITH {NOTES}, delta AS (SELECT slug, reverse(content) AS content FROM notes WHERE lang = 'en') SELECT coalesce(o.slug, d.slug) AS slug, o.title, md5(coalesce(d.content, o.content)) AS content FROM (SELECT slug, title, content FROM notes WHERE doc_id % 2 = 0) o FULL JOIN delta d ON d.slug = o.slug")
 def agg_merge_tier(spark, sf_dir):
     rows = notes(spark, sf_dir)
-    old = rows.where("doc_id % 2 = 0").select("slug", "title", F.substring("content", 1, 20).alias("content"))
-    return A.merge_tier(old, rows.where("lang = 'en'").select("slug", F.substring("content", 1, 80).alias("content")), "slug")
+    old = rows.where("doc_id % 2 = 0").select("slug", "title", "content")
+    merged = A.merge_tier(old, rows.where("lang = 'en'").select("slug", F.reverse("content").alias("content")), "slug")
+    return merged.withColumn("content", F.md5("content"))
 
 
 @query("agg_candidates", f"WITH {EDGES} SELECT regexp_replace(lower(target), '[^a-z]', '', 'g') AS concept, count(DISTINCT page_id) AS atoms FROM edges GROUP BY 1 HAVING concept <> ''")

@@ -81,11 +81,16 @@ def join_en_it(spark, sf_dir):
     return J.paired(*sides(spark, sf_dir), ["conv_id", "turn"]).select("conv_id", "turn", "status")
 
 
-@query("join_raw_leaf", f"WITH {NOTES} SELECT a.doc_id, b.doc_id AS raw_id FROM notes a JOIN notes b ON b.title = a.title AND contains(lower(b.content), lower(a.title)) AND a.doc_id <> b.doc_id")
+RAW = "leaf AS (SELECT doc_id, lang || '/' || n_chars AS file, list_transform(string_split(text, chr(10)), lambda x: trim(x)) AS lines FROM documents)"
+
+
+@query("join_raw_leaf", f"WITH {RAW} SELECT a.doc_id, b.doc_id AS raw_id FROM leaf a JOIN leaf b ON a.file = b.file AND a.doc_id <> b.doc_id WHERE len(list_filter(range(0, len(b.lines) - least(len(a.lines), 2) + 1), lambda i: b.lines[i + 1:i + least(len(a.lines), 2)] = a.lines[1:2])) > 0")
 def join_raw_leaf(spark, sf_dir):
-    rows = notes(spark, sf_dir)
-    a, b = rows.select("doc_id", "title"), rows.select(F.col("doc_id").alias("raw_id"), "title", "content")
-    return a.join(b, "title").where(F.lower("content").contains(F.lower("title")) & (F.col("doc_id") != F.col("raw_id"))).select("doc_id", "raw_id")
+    """Units and raw files of one file name, kept where the raw lines hold the unit's first two in a row."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.col("lang"), F.lit("/"), F.col("n_chars").cast("string")).alias("file"), F.transform(F.split("text", "\n", -1), lambda x: F.trim(x)).alias("lines"))
+    a = rows.select("doc_id", "file", F.slice("lines", 1, 2).alias("head"))
+    b = rows.select(F.col("doc_id").alias("raw_id"), "file", "lines")
+    return a.join(b, "file").where((F.col("doc_id") != F.col("raw_id")) & J.holds_run(F.col("lines"), F.col("head"))).select("doc_id", "raw_id")
 
 
 @query("join_adjacent", "SELECT conv_id, turn, lead(turn) OVER w AS next_turn, lead(role) OVER w AS next_role FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)")
@@ -107,11 +112,19 @@ def join_sequence_locate(spark, sf_dir):
     return J.sequence_locate(rows.where(F.size("wanted") > 0), "doc_id")
 
 
-@query("join_vector_nn", "WITH q AS (SELECT vec_id AS qid, embedding AS q FROM embeddings WHERE vec_id < 10) SELECT qid, id, round(score, 6) AS score FROM (SELECT qid, vec_id AS id, list_dot_product(q::DOUBLE[], embedding::DOUBLE[]) AS score, row_number() OVER (PARTITION BY qid ORDER BY list_dot_product(q::DOUBLE[], embedding::DOUBLE[]) DESC, vec_id) AS rank FROM embeddings, q) WHERE rank <= 5")
-def join_vector_nn(spark, sf_dir):
+#: Queries of the vector searches: every row whose id is divisible by 100.
+SCORES = "s AS (SELECT q.vec_id AS qid, e.vec_id, e.label, list_dot_product(q.embedding::DOUBLE[], e.embedding::DOUBLE[]) AS s FROM embeddings e, embeddings q WHERE q.vec_id % 100 = 0)"
+
+
+def asked(spark, sf_dir):
+    """(queries, rows) of the vector searches."""
     rows = table(spark, sf_dir, "embeddings")
-    asked = rows.where("vec_id < 10").select(F.col("vec_id").alias("qid"), F.col("embedding").alias("q"))
-    return J.top_by_product(asked, rows.select(F.col("vec_id").alias("id"), F.col("embedding").alias("v")), 5).select("qid", "id", F.round("score", 6).alias("score"))
+    return rows.where("vec_id % 100 = 0").select(F.col("vec_id").alias("qid"), F.col("embedding").alias("q")), rows.select(F.col("vec_id").alias("id"), F.col("embedding").alias("v"))
+
+
+@query("join_vector_nn", f"WITH {SCORES} SELECT qid, id, round(s, 6) AS score FROM (SELECT qid, vec_id AS id, s, row_number() OVER (PARTITION BY qid ORDER BY round(s, 9) DESC, vec_id) AS rank FROM s) WHERE rank <= 5")
+def join_vector_nn(spark, sf_dir):
+    return J.top_by_product(*asked(spark, sf_dir), 5).select("qid", "id", F.round("score", 6).alias("score"))
 
 
 @query("join_lexicon", f"WITH {EDGES}, lex AS (SELECT lower(target) AS label, count(*) AS n FROM edges GROUP BY 1 HAVING count(*) >= 2) SELECT e.page_id, e.target, l.n FROM edges e JOIN lex l ON l.label = lower(e.target) WHERE starts_with(e.host, 'blog.')")

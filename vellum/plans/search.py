@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from vellum.functions import text as T
 from vellum.operators import links as L
 from vellum.operators import search as S
 from vellum.operators.aggregates import child_titles
-from vellum.plans.joins import EDGES, edges
+from vellum.operators import joins as J
+from vellum.operators.joins import scores
+from vellum.plans.joins import EDGES, SCORES, asked, edges
 from vellum.plans.notes import NOTES, notes
 from vellum.plans.registry import query, table
 from vellum.plans.scalars import TOKENS_SQL
+from vellum.sources.scratch import written
 
 HAY = "lower(coalesce(title, '') || ' ' || coalesce(content, '') || ' ' || array_to_string(tags, ' '))"
 TOKENS = TOKENS_SQL.replace("lower(text)", "lower(content)")
@@ -43,7 +47,7 @@ def tier_sql(n: int, chars: int, units: bool) -> str:
 
 @query("search_tiers", f"WITH {NOTES}, {RANKED} SELECT 0::BIGINT AS tier, slug, md5(content) AS digest FROM ({tier_sql(30, 160, False)}) UNION ALL SELECT 2, slug, md5(content) FROM ({tier_sql(80, 400, True)})")
 def search_tiers(spark, sf_dir):
-    whole = ranked(spark, sf_dir)
+    whole = written(ranked(spark, sf_dir))
     zero, two = (S.tier(whole, k).select(F.lit(k).cast("long").alias("tier"), "slug", F.md5("content").alias("digest")) for k in (0, 2))
     return zero.unionByName(two)
 
@@ -98,25 +102,24 @@ def vec_quantize(spark, sf_dir):
     return table(spark, sf_dir, "embeddings").select("vec_id", F.array_join(F.transform(S.quantized(F.col("embedding"), 32), lambda x: x.cast("string")), ",").alias("q"))
 
 
-@query("vec_search", f"WITH {VECTORS}, a AS (SELECT u AS q FROM unit WHERE vec_id = 5) SELECT vec_id, round(list_dot_product(q, {QUANT}::DOUBLE[]) / 127, 6) AS score FROM unit, a ORDER BY round(list_dot_product(q, {QUANT}::DOUBLE[]) / 127, 9) DESC, vec_id LIMIT 50")
+@query("vec_search", f"WITH {VECTORS}, s AS (SELECT a.vec_id AS qid, u.vec_id, list_dot_product(a.u, {QUANT.replace('(u,', '(u.u,')}::DOUBLE[]) / 127 AS s FROM unit u, unit a WHERE a.vec_id % 100 = 0) SELECT qid, vec_id, round(s, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(s, 9) DESC, vec_id) AS r FROM s) WHERE r <= 50")
 def vec_search(spark, sf_dir):
-    from vellum.operators.joins import dot
-
+    """Queries of unit length against the quantised rows."""
     rows = table(spark, sf_dir, "embeddings")
-    asked = rows.where("vec_id = 5").select(S.unit_length(F.col("embedding"), 32).alias("q"))
-    scored = rows.crossJoin(F.broadcast(asked)).select("vec_id", (dot(F.col("q"), S.quantized(F.col("embedding"), 32)) / 127).alias("score"))
-    return scored.orderBy(F.desc(F.round("score", 9)), "vec_id").limit(50).withColumn("score", F.round("score", 6))
+    queries = rows.where("vec_id % 100 = 0").select(F.col("vec_id").alias("qid"), S.unit_length(F.col("embedding"), 32).alias("q"))
+    held = rows.select(F.col("vec_id").alias("id"), F.transform(S.quantized(F.col("embedding"), 32), lambda x: x / 127).alias("v"))
+    return J.top_by_product(queries, held, 50).select("qid", F.col("id").alias("vec_id"), F.round("score", 6).alias("score"))
 
 
-@query("vec_semantic_dedup", "WITH q AS (SELECT embedding AS q FROM embeddings WHERE vec_id = 7), s AS (SELECT vec_id % 50 AS id, vec_id, list_dot_product(q::DOUBLE[], embedding::DOUBLE[]) AS s FROM embeddings, q) SELECT id, vec_id, round(s, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY s DESC, vec_id) AS r FROM s) WHERE r = 1 ORDER BY s DESC, id LIMIT 20")
+@query("vec_semantic_dedup", f"WITH {SCORES}, b AS (SELECT qid, vec_id % 50 AS id, vec_id, s, row_number() OVER (PARTITION BY qid, vec_id % 50 ORDER BY round(s, 9) DESC, vec_id) AS r FROM s) SELECT qid, id, vec_id, round(s, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(s, 9) DESC, id) AS place FROM b WHERE r = 1) WHERE place <= 20")
 def vec_semantic_dedup(spark, sf_dir):
-    from vellum.operators.joins import dot
+    """The best line of each page, and of those a query's 20 best."""
     from vellum.operators.sequences import first_per
 
-    rows = table(spark, sf_dir, "embeddings")
-    asked = rows.where("vec_id = 7").select(F.col("embedding").alias("q"))
-    scored = rows.crossJoin(F.broadcast(asked)).select((F.col("vec_id") % 50).alias("id"), "vec_id", dot(F.col("q"), F.col("embedding")).alias("score"))
-    return first_per(scored, ["id"], F.desc("score"), F.asc("vec_id")).orderBy(F.desc("score"), "id").limit(20).withColumn("score", F.round("score", 6))
+    hits = scores(*asked(spark, sf_dir)).select("qid", (F.col("id") % 50).alias("id"), F.col("id").alias("vec_id"), F.round("score", 9).alias("s"), "score")
+    best = first_per(hits, ["qid", "id"], F.desc("s"), F.asc("vec_id"))
+    place = Window.partitionBy("qid").orderBy(F.desc("s"), "id")
+    return best.withColumn("place", F.row_number().over(place)).where("place <= 20").select("qid", "id", "vec_id", F.round("score", 6).alias("score"))
 
 
 @query("vec_corpus_build", rf"WITH {NOTES} SELECT slug AS id, 'atom' AS kind, '' AS speaker, length(substr(content, 1, 1500)) AS size FROM notes WHERE contains(slug, '#') UNION ALL SELECT slug, 'page', '', length(substr(content, 1, 1500)) FROM notes n WHERE NOT contains(slug, '#') AND NOT EXISTS (SELECT 1 FROM notes a WHERE contains(a.slug, '#') AND a.work = n.slug) UNION ALL SELECT 'conv/' || conv_id, 'line', role, length(substr(text, 1, 1500)) FROM conversations WHERE length(text) >= 12")
@@ -192,19 +195,27 @@ def graph_link_cap(spark, sf_dir):
     return L.capped_links(rows, "links", 4).withColumn("links", F.array_join("links", ","))
 
 
-@query("graph_cycle", "SELECT true AS cyclic, false AS ordered")
+#: Notes that point at each other inside runs of fifty: one edge a note.
+POINTS = "e AS (SELECT doc_id AS src, doc_id - doc_id % 50 + (n_chars * 7 + doc_id) % 50 AS dst FROM documents), known AS (SELECT e.* FROM e JOIN documents d ON d.doc_id = e.dst)"
+
+
+def points(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    run = F.col("doc_id") - F.col("doc_id") % 50
+    every = rows.select(F.col("doc_id").alias("src"), (run + (F.col("n_chars").cast("long") * 7 + F.col("doc_id")) % 50).alias("dst"))
+    return every.join(rows.select(F.col("doc_id").alias("dst")), "dst", "left_semi").select("src", "dst")
+
+
+@query("graph_cycle", f"WITH RECURSIVE {POINTS}, walk(origin, here) AS (SELECT src, dst FROM known UNION SELECT origin, dst FROM walk JOIN known ON src = here) SELECT DISTINCT origin AS node FROM walk WHERE origin = here")
 def graph_cycle(spark, sf_dir):
-    nation = table(spark, sf_dir, "nation")
-    ring = nation.select(F.col("n_nationkey").alias("src"), ((F.col("n_nationkey") + 1) % 5).alias("dst")).where("src < 5")
-    line = nation.select(F.col("n_nationkey").alias("src"), (F.col("n_nationkey") + 1).alias("dst"))
-    return spark.range(1).select(F.lit(L.has_cycle(spark, ring)).alias("cyclic"), F.lit(L.has_cycle(spark, line)).alias("ordered"))
+    """The notes on a cycle; each has one edge, so that what neither end of peeling removes are the cycles."""
+    return L.cyclic_core(points(spark, sf_dir)).select(F.col("src").alias("node")).distinct()
 
 
-@query("graph_transclude", "WITH RECURSIVE e AS (SELECT n_nationkey AS src, (n_nationkey * 3 + 1) % 25 AS dst FROM nation), inc AS (SELECT n_nationkey AS root, n_nationkey AS page, [n_nationkey] AS path, false AS cyclic FROM nation WHERE n_nationkey < 5 UNION ALL SELECT root, e.dst, list_append(path, e.dst), list_contains(path, e.dst) FROM inc JOIN e ON e.src = page WHERE NOT cyclic) SELECT root::BIGINT AS root, page::BIGINT AS page, array_to_string(path, '>') AS path, cyclic FROM inc")
+@query("graph_transclude", f"WITH RECURSIVE {POINTS}, inc AS (SELECT doc_id AS root, doc_id AS page, [doc_id] AS path, false AS cyclic FROM documents UNION ALL SELECT root, e.dst, list_append(path, e.dst), list_contains(path, e.dst) FROM inc JOIN known e ON e.src = page WHERE NOT cyclic) SELECT root, page, array_to_string(path, '>') AS path, cyclic FROM inc")
 def graph_transclude(spark, sf_dir):
-    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("n"))
-    includes = nation.select(F.col("n").alias("src"), ((F.col("n") * 3 + 1) % 25).alias("dst"))
-    found = L.transclusions(spark, includes, nation.where("n < 5").select(F.col("n").alias("page")), 30)
+    roots = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("page"))
+    found = L.transclusions(points(spark, sf_dir), roots)
     return found.withColumn("path", F.array_join(F.transform("path", lambda x: x.cast("string")), ">"))
 
 
@@ -214,7 +225,7 @@ def trie_build(spark, sf_dir):
     return L.trie(paths, "path").withColumn("depth", F.col("depth").cast("long"))
 
 
-@query("trie_assemble", f"WITH {NOTES} SELECT work AS page, count(*) AS leaves, md5(array_to_string(list('## ' || title || chr(10) || substr(content, 1, 50) ORDER BY doc_id), chr(10) || chr(10))) AS digest FROM notes GROUP BY work HAVING bool_and(coalesce(quality, 1) = 1)")
+@query("trie_assemble", f"WITH {NOTES} SELECT work AS page, count(*) AS leaves, md5(array_to_string(list('## ' || title || chr(10) || content ORDER BY doc_id), chr(10) || chr(10))) AS digest FROM notes GROUP BY work HAVING bool_and(coalesce(quality, 1) = 1)")
 def trie_assemble(spark, sf_dir):
-    body = F.when(F.coalesce("quality", F.lit(1)) == 1, F.substring("content", 1, 50))
+    body = F.when(F.coalesce("quality", F.lit(1)) == 1, F.col("content"))
     return L.assemble(notes(spark, sf_dir), F.col("work"), "doc_id", "title", body).select("page", "leaves", F.md5("body").alias("digest"))

@@ -9,7 +9,9 @@ from vellum.operators import aggregates as A
 from vellum.operators import ordering as O
 from vellum.operators import sequences as S
 from vellum.plans.aggregates import MASTER, docs, master
-from vellum.plans.joins import PAIRS, sides
+from vellum.operators import joins as J
+from vellum.operators.joins import scores
+from vellum.plans.joins import PAIRS, SCORES, asked, sides
 from vellum.plans.notes import NOTES, notes
 from vellum.plans.registry import query, table
 
@@ -25,14 +27,11 @@ def win_section_dedup(spark, sf_dir):
     return S.first_per(notes(spark, sf_dir), ["work"], F.desc("links"), F.asc("slug")).select("slug", "links")
 
 
-@query("win_best_per_target", "WITH q AS (SELECT embedding AS q FROM embeddings WHERE vec_id = 1), s AS (SELECT label, vec_id, list_dot_product(q::DOUBLE[], embedding::DOUBLE[]) AS s FROM embeddings, q) SELECT label::BIGINT AS label, vec_id, round(s, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY s DESC, vec_id) AS r FROM s) WHERE r = 1")
+@query("win_best_per_target", f"WITH {SCORES} SELECT qid, label::BIGINT AS label, vec_id, round(s, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY qid, label ORDER BY round(s, 9) DESC, vec_id) AS r FROM s) WHERE r = 1")
 def win_best_per_target(spark, sf_dir):
-    from vellum.operators.joins import dot
-
-    rows = table(spark, sf_dir, "embeddings")
-    asked = rows.where("vec_id = 1").select(F.col("embedding").alias("q"))
-    scored = rows.crossJoin(F.broadcast(asked)).select(F.col("label").cast("long").alias("label"), "vec_id", dot(F.col("q"), F.col("embedding")).alias("score"))
-    return S.first_per(scored, ["label"], F.desc("score"), F.asc("vec_id")).withColumn("score", F.round("score", 6))
+    labels = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("label").cast("long").alias("label"))
+    scored = scores(*asked(spark, sf_dir)).join(labels, "id").withColumnRenamed("id", "vec_id")
+    return S.first_per(scored, ["qid", "label"], F.desc(F.round("score", 9)), F.asc("vec_id")).select("qid", "label", "vec_id", F.round("score", 6).alias("score"))
 
 
 @query("win_top_terms", f"WITH {MASTER} SELECT doc_id, count(CASE WHEN rank <= 30 THEN 1 END) AS t0, count(CASE WHEN rank <= 80 THEN 1 END) AS t2, count(*) AS t1 FROM master WHERE rank <= 150 GROUP BY doc_id")
@@ -56,14 +55,13 @@ def win_atom_partition(spark, sf_dir):
     return S.carried(table(spark, sf_dir, "conversations"), "conv_id", "turn", marker, "atom").select("conv_id", "turn", "atom")
 
 
-OVERLAP = "CASE WHEN a[len(a) - 1:] = b[1:2] THEN 2 WHEN a[len(a):] = b[1:1] THEN 1 ELSE 0 END"
-
-
-@query("win_adjacent_overlap", "WITH t AS (SELECT conv_id, turn, [length(text) % 3, length(text) % 2] AS a FROM conversations), n AS (SELECT conv_id, turn, a, lead(a) OVER (PARTITION BY conv_id ORDER BY turn) AS b FROM t) SELECT conv_id, turn, (" + OVERLAP + ")::BIGINT AS k FROM n WHERE b IS NOT NULL")
+@query("win_adjacent_overlap", "WITH t AS (SELECT doc_id, lang, list_transform(string_split(text, chr(10)), lambda x: trim(x)) AS a FROM documents), n AS (SELECT doc_id, a, lead(a) OVER (PARTITION BY doc_id // 20 ORDER BY doc_id) AS b FROM t) SELECT doc_id, coalesce(list_max(list_filter(range(1, least(len(a), len(b)) + 1), lambda k: a[len(a) - k + 1:] = b[1:k])), 0)::BIGINT AS k FROM (SELECT doc_id, list_concat(a, CASE WHEN doc_id % 3 = 0 THEN b[1:1 + doc_id % 4] ELSE [] END) AS a, b FROM n WHERE b IS NOT NULL)")
 def win_adjacent_overlap(spark, sf_dir):
-    held = F.array(F.length("text") % 3, F.length("text") % 2)
-    rows = S.neighbours(table(spark, sf_dir, "conversations").withColumn("a", held), "conv_id", "turn", "a").where("next is not null")
-    return rows.select("conv_id", "turn", S.overlap(F.col("a"), F.col("next")).cast("long").alias("k"))
+    """Lines that the next unit repeats; every third unit of a run of twenty goes on with its next one's first lines."""
+    held = F.transform(F.split("text", "\n", -1), lambda x: F.trim(x))
+    rows = S.neighbours(docs(spark, sf_dir).select("doc_id", F.floor(F.col("doc_id") / 20).alias("run"), held.alias("a")), "run", "doc_id", "a").where("next is not null")
+    runs_on = F.when(F.col("doc_id") % 3 == 0, F.slice("next", F.lit(1), (1 + F.col("doc_id") % 4).cast("int"))).otherwise(F.array().cast("array<string>"))
+    return rows.select("doc_id", S.overlap(F.concat("a", runs_on), F.col("next")).cast("long").alias("k"))
 
 
 @query("win_rising", "SELECT conv_id, bool_and(n % 5 = 0 AND (b IS NULL OR n > b)) AS rising FROM (SELECT conv_id, n, lag(n) OVER (PARTITION BY conv_id ORDER BY turn) AS b FROM (SELECT conv_id, turn, turn * 5 + CASE WHEN conv_id % 7 = 0 THEN length(text) % 6 ELSE 0 END AS n FROM conversations)) GROUP BY conv_id")
@@ -94,18 +92,18 @@ fold AS (SELECT grp, doc_id, nr, 0::BIGINT AS bucket, (size + {add})::BIGINT AS
 SELECT grp AS {group}, bucket, array_to_string(list(doc_id ORDER BY nr), ',') AS ids FROM fold GROUP BY ALL"""
 
 
-def packed(rows):
+def joined_ids(rows):
     return rows.withColumns({"bucket": F.col("bucket").cast("long"), "ids": F.array_join(F.transform("ids", lambda x: x.cast("string")), ",")})
 
 
 @query("pack_bytes", folded("source", "strlen(text)", "f.used + i.size + 3 <= 20000", "1"))
 def pack_bytes(spark, sf_dir):
-    return packed(S.pack_bytes(docs(spark, sf_dir).withColumn("size", F.octet_length("text")), "source", "doc_id", "size", 20_000))
+    return joined_ids(S.pack_bytes(docs(spark, sf_dir).withColumn("size", F.octet_length("text")), "source", "doc_id", "size", 20_000))
 
 
 @query("pack_batches", folded("lang", "least(length(text), 8000)", "f.held < 35 AND f.used + i.size <= 180000", "0"))
 def pack_batches(spark, sf_dir):
-    return packed(S.pack_batches(docs(spark, sf_dir).withColumn("size", F.length("text")), "lang", "doc_id", "size"))
+    return joined_ids(S.pack_batches(docs(spark, sf_dir).withColumn("size", F.length("text")), "lang", "doc_id", "size"))
 
 
 @query("pack_chunks")
@@ -131,21 +129,30 @@ def budget_search(spark, sf_dir):
 NO_ART = r"trim(regexp_replace(lower({}), '^\s*(the|a|an)\s+', ''))"
 
 
-def sorted_query(name, order, sql_order, columns="slug"):
-    @query(name, f"WITH {NOTES} SELECT {columns}, row_number() OVER (ORDER BY {sql_order}) AS pos FROM notes ORDER BY pos LIMIT 400")
+def sorted_query(name, order, sql_order, source=None):
+    @query(name, f"WITH {NOTES} SELECT slug, row_number() OVER (ORDER BY {sql_order}) AS pos FROM notes")
     def run(spark, sf_dir):
-        """The first 400 places: a ranked report."""
-        top = notes(spark, sf_dir).orderBy(*order()).limit(400)
-        return O.numbered(top, order()).select(columns, "pos")
+        return O.numbered((source or notes)(spark, sf_dir), order()).select("slug", "pos")
 
 
-sorted_query("sort_works", lambda: O.works_order("flesch", False, True), "flesch DESC NULLS LAST, lower(title), slug")
-sorted_query("sort_works_text", lambda: O.works_order("title", True, False), NO_ART.format("title") + ", lower(title), slug")
+def dated(spark, sf_dir):
+    """Notes as pages: two of three with a date, works as folders."""
+    date = F.when(F.col("n_chars") % 3 > 0, F.date_add(F.lit("2020-01-01").cast("date"), (F.col("n_chars") % 700).cast("int")))
+    return notes(spark, sf_dir).withColumns({"date": date, "is_folder": (~F.col("slug").contains("#")).cast("int")})
+
+
+for way, sql_way in ((True, "ASC"), (False, "DESC")):
+    suffix = "" if way else "_desc"
+    sorted_query(f"sort_works{suffix}", lambda way=way: O.works_order("flesch", way, True), f"flesch {sql_way} NULLS LAST, lower(title), slug")
+    sorted_query(f"sort_works_text{suffix}", lambda way=way: O.works_order("title", way, False), f"{NO_ART.format('title')} {sql_way} NULLS LAST, lower(title), slug")
+    sorted_query(f"sort_cerca{suffix}", lambda way=way: O.works_order("links", way, True), f"links {sql_way} NULLS LAST, lower(title), slug")
 BAND = "CASE WHEN flesch IS NULL OR flesch < 0 OR flesch > 100 THEN 9 WHEN flesch >= 80 THEN 0 WHEN flesch >= 70 THEN 1 WHEN flesch >= 60 THEN 2 WHEN flesch >= 45 THEN 3 ELSE 4 END"
+sorted_query("sort_works_cefr", lambda: O.works_order("cefr", True, False), f"{BAND}, lower(title), slug")
 sorted_query("sort_works_cefr_desc", lambda: O.works_order("cefr", False, False), f"{BAND} DESC, lower(title), slug")
 sorted_query("sort_concept", lambda: O.concept_order("author"), f"{NO_ART.format('author')}, {NO_ART.format('title')}, slug")
-sorted_query("sort_cerca", lambda: O.works_order("links", False, True), "links DESC NULLS LAST, lower(title), slug")
-sorted_query("sort_pages_date", lambda: [F.col("quality").desc_nulls_last(), F.lower("title").asc(), F.col("slug").asc()], "quality DESC NULLS LAST, lower(title), slug")
+DATE = "CASE WHEN n_chars % 3 > 0 THEN DATE '2020-01-01' + (n_chars % 700)::INTEGER END DESC NULLS LAST, lower(title), slug"
+sorted_query("sort_pages_date", O.pages_order, DATE, dated)
+sorted_query("sort_pages_folder", lambda: O.pages_order(folder_first=True), f"NOT contains(slug, '#') DESC, {DATE}", dated)
 
 
 @query("sort_excerpts", f"WITH {NOTES} SELECT slug, row_number() OVER (PARTITION BY lang ORDER BY {NO_ART.format('author')}, work, doc_id) AS pos FROM notes")
@@ -178,14 +185,12 @@ def sort_toc(spark, sf_dir):
     return O.numbered(rows, O.toc_order("chapter", "doc_id"), "work").select("slug", "pos")
 
 
-@query("topk_vector", "WITH q AS (SELECT embedding AS q FROM embeddings WHERE vec_id = 3) SELECT vec_id, round(list_dot_product(q::DOUBLE[], embedding::DOUBLE[]), 6) AS score FROM embeddings, q WHERE label <> 2 ORDER BY list_dot_product(q::DOUBLE[], embedding::DOUBLE[]) DESC, vec_id LIMIT 200")
+@query("topk_vector", f"WITH {SCORES} SELECT qid, vec_id, round(s, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(s, 9) DESC, vec_id) AS r FROM s WHERE label <> 2) WHERE r <= 200")
 def topk_vector(spark, sf_dir):
-    from vellum.operators.joins import dot
-
-    rows = table(spark, sf_dir, "embeddings")
-    asked = rows.where("vec_id = 3").select(F.col("embedding").alias("q"))
-    scored = rows.where("label <> 2").crossJoin(F.broadcast(asked)).select("vec_id", dot(F.col("q"), F.col("embedding")).alias("score"))
-    return scored.orderBy(F.desc("score"), "vec_id").limit(200).withColumn("score", F.round("score", 6))
+    """The 200 best that a filter accepts before they are ranked."""
+    queries, _ = asked(spark, sf_dir)
+    rows = table(spark, sf_dir, "embeddings").where("label <> 2").select(F.col("vec_id").alias("id"), F.col("embedding").alias("v"))
+    return J.top_by_product(queries, rows, 200).select("qid", F.col("id").alias("vec_id"), F.round("score", 6).alias("score"))
 
 
 @query("page_clamp", f"WITH {NOTES}, n AS (SELECT slug, row_number() OVER (ORDER BY {NO_ART.format('title')}, lower(title), slug) AS r, count(*) OVER () AS total FROM notes) SELECT slug FROM n WHERE r > (CEIL(total / 25.0) - 1) * 25")

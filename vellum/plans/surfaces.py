@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from vellum.operators import filters as P
@@ -15,15 +12,10 @@ from vellum.plans.notes import NOTES, notes
 from vellum.plans.registry import query, table
 from vellum.sources import readers as R
 from vellum.sources import sinks as K
+from vellum.sources.scratch import scratch
 from vellum.streaming import incremental as I
 
 
-def scratch(spark) -> str:
-    """A folder that all executors share, as the session names it; a local one only where it names none."""
-    at = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    return f"{(at or 'file://' + tempfile.mkdtemp()).rstrip('/')}/files-{uuid.uuid4().hex}"
-
-
 def front():
     return F.concat(F.lit('---\r\ntitle: "'), "source", F.lit('"\r\nauthor: A B\r\ntype: work\r\ntags:\r\n  - lang/'), "lang", F.lit("\r\n  - x/y\r\ncluster: c\r\n---\r\n"), "text")
 
