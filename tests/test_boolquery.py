@@ -11,21 +11,21 @@ def words(q):
 @pytest.mark.parametrize(
     ("raw", "default", "clauses", "explicit"),
     [
-        ("plato cave", "or", [["plato"], ["cave"]], False),
-        ("plato cave", "and", [["plato", "cave"]], False),
-        ("plato AND cave OR aristotle", "or", [["plato", "cave"], ["aristotle"]], True),
+        ("ivory lamp", "or", [["ivory"], ["lamp"]], False),
+        ("ivory lamp", "and", [["ivory", "lamp"]], False),
+        ("ivory AND lamp OR garden", "or", [["ivory", "lamp"], ["garden"]], True),
         ("a && b || c", "or", [["a", "b"], ["c"]], True),
-        ("(sea & shore) | dog", "or", [["sea", "shore"], ["dog"]], True),
-        ("(sea AND shore) OR dog", "or", [["sea", "shore"], ["dog"]], True),
-        ("sea and shore", "or", [["sea"], ["and"], ["shore"]], False),
-        ("bread and butter | jam", "or", [["bread", "and", "butter"], ["jam"]], True),
+        ("(river & bank) | wolf", "or", [["river", "bank"], ["wolf"]], True),
+        ("(river AND bank) OR wolf", "or", [["river", "bank"], ["wolf"]], True),
+        ("river and bank", "or", [["river"], ["and"], ["bank"]], False),
+        ("salt and pepper | oil", "or", [["salt", "and", "pepper"], ["oil"]], True),
         ("(a | b) & (c | d)", "or", [["a", "c"], ["a", "d"], ["b", "c"], ["b", "d"]], True),
         ("a & a", "or", [["a"]], True),
         ("& a", "or", [["a"]], True),
         ("a ) b", "or", [["a"]], True),
         ("&", "or", [], True),
         ("", "or", [], False),
-        ('"Open phrase', "or", [["open phrase"]], False),
+        ('"Half a saying', "or", [["half a saying"]], False),
     ],
 )
 def test_parse(raw, default, clauses, explicit):
@@ -34,22 +34,22 @@ def test_parse(raw, default, clauses, explicit):
 
 
 def test_exact_terms_and_order():
-    q = parse("“Dog at sea\" ship")
-    assert q.clauses == ((Term("dog at sea", True),), (Term("ship"),))
+    q = parse("“Wolf by river\" hole")
+    assert q.clauses == ((Term("wolf by river", True),), (Term("hole"),))
     assert parse("a AND b OR c").terms == ["a", "b", "c"]
 
 
 def test_columns(spark):
-    df = spark.createDataFrame([("A flagship at sea", "the dog at sea barked", ["author/x"]), ("The Cave", "plato shadows", None), (None, None, None)], "title string, content string, tags array<string>")
+    df = spark.createDataFrame([("A keyhole by river", "the wolf by river howled", ["author/x"]), ("The Lamp", "ivory tusks", None), (None, None, None)], "title string, content string, tags array<string>")
     hay = haystack(F.col("title"), F.col("content"), F.col("tags"))
 
     def hits(raw, default="or"):
         return [r[0] for r in df.select(matches(hay, parse(raw, default))).collect()]
 
-    assert hits('"dog at sea"') == [True, False, False]
-    assert hits('"ship"') == [False, False, False] and hits("ship") == [True, False, False] and hits('"flagship"') == [True, False, False]
-    assert hits("plato AND cave") == [False, True, False] and hits("plato AND forms") == [False] * 3
-    assert hits("forms OR cave", "and") == [False, True, False]
+    assert hits('"wolf by river"') == [True, False, False]
+    assert hits('"hole"') == [False, False, False] and hits("hole") == [True, False, False] and hits('"keyhole"') == [True, False, False]
+    assert hits("ivory AND lamp") == [False, True, False] and hits("ivory AND snow") == [False] * 3
+    assert hits("snow OR lamp", "and") == [False, True, False]
     assert [r[0] for r in df.select(fields_match([F.col("title")], " ")).collect()] == [True] * 3
     assert [r[0] for r in df.select(fields_match([F.col("title")], "&")).collect()] == [False] * 3
     assert [r[0] for r in df.select(matches(hay, Query(()))).collect()] == [False] * 3

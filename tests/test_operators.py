@@ -59,7 +59,7 @@ def test_quantile_and_titles(spark):
     assert A.index_quantile(rows, "v", 0.5).first()[0] == 5 and A.index_quantile(rows, "v", 0.9).first()[0] == 9
     assert A.index_quantile(rows.limit(0), "v", 0.5).first()[0] == 0
     titles = spark.createDataFrame([("w", "The Sea."), ("w", "the  sea"), ("w", "Shore"), ("v", "A"), ("v", "B")], "w string, t string")
-    assert {r.w: r.title for r in A.majority_title(titles, "w", F.col("t")).collect()} == {"w": "the sea", "v": None}
+    assert {r.w: r.title for r in A.majority_title(titles, "w", F.col("t")).collect()} == {"w": "The Sea.", "v": None}
 
 
 def test_nearest_key_against_search(spark):
@@ -125,7 +125,51 @@ def test_link_texts(spark):
 def test_trie_and_graph(spark):
     nodes = {r.node: (r.parent, r.depth, r.is_folder, r.pages) for r in L.trie(spark.createDataFrame([("a/b/c",), ("a/index",), ("a/b/d",)], "path string"), "path").collect()}
     assert nodes["a"] == ("", 1, True, 3) and nodes["a/b"] == ("a", 2, True, 2) and nodes["a/b/c"] == ("a/b", 3, False, 1)
-    assert L.has_cycle(spark, spark.createDataFrame([(1, 2), (2, 3), (3, 1)], "src int, dst int")) and not L.has_cycle(spark, spark.createDataFrame([(1, 2), (2, 3)], "src int, dst int"))
+    ring = spark.createDataFrame([(i, (i + 1) % 60) for i in range(60)] + [(100, 0), (30, 200)], "src int, dst int")
+    assert L.has_cycle(ring) and L.cyclic_core(ring).count() == 60
+    chain = spark.createDataFrame([(i, i + 1) for i in range(30)], "src int, dst int")
+    assert not L.has_cycle(chain) and not L.has_cycle(chain.limit(0))
+    pages = L.transclusions(chain, spark.createDataFrame([(0,)], "page int")).collect()
+    assert len(pages) == 31 and max(len(r.path) for r in pages) == 31 and not any(r.cyclic for r in pages)
+
+
+def test_places_and_running_sums_of_one_dominating_group(spark):
+    rows = spark.range(3000).selectExpr("IF(id % 10 < 9, 'hot', CAST(id % 3 AS STRING)) AS g", "(id * 7919) % 3001 AS v", "id").repartition(6)
+    want = {}
+    held = sorted(rows.collect(), key=lambda r: (r.g, r.v, r.id))
+    for r in held:
+        want.setdefault(r.g, []).append(r)
+    placed = {r.id: r.pos for r in O.numbered(rows, [F.asc("v"), F.asc("id")], "g").collect()}
+    summed = {r.id: r.s for r in O.running(rows, [F.asc("v"), F.asc("id")], "g", F.col("v"), "s").collect()}
+    for group in want.values():
+        assert [placed[r.id] for r in group] == list(range(1, len(group) + 1))
+        assert [summed[r.id] for r in group] == [sum(x.v for x in group[:i]) for i in range(len(group))]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)  # so few bytes would be one range
+    try:
+        split = O._ranges(rows, [F.asc("v"), F.asc("id")], "g", F.lit(1)).select("id", "g", "_part", (F.col("_here") + F.col("_before")).alias("pos")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len({r["_part"] for r in split if r.g == "hot"}) > 1 and {r.id: r.pos for r in split} == placed
+    assert {r.id: r.pos for r in O.numbered(rows, [F.asc("id")]).collect()} == {i: i + 1 for i in range(3000)}
+    deep = O.page(spark.range(30_000), [F.asc("id")], 25, 700)
+    assert [r.id for r in deep.collect()] == list(range(17_500, 17_525))
+
+
+def test_majority_titles_go_down_the_ladder(spark):
+    rows = [("c1", "w", f"The Book \u2014 Chapter {i}") for i in range(4)] + [("c2", "w", "A Book \u2014 One"), ("c2", "w", "The Book \u2014 One."), ("c3", "v", "X \u2014 One"), ("c3", "v", "Y \u2014 One"), ("c4", "w", "Loose"), ("c4", "w", "Other")]
+    df = spark.createDataFrame(rows, "c string, w string, t string")
+    assert {r.c: r.title for r in A.majority_title(df, "c", F.col("t"), "w").collect()} == {"c1": "The Book", "c2": "The Book \u2014 One", "c3": None, "c4": None}
+
+
+def test_vector_scores_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(J, "ROWS_A_BLOCK", 7)
+    monkeypatch.setattr(J, "QUERIES_A_BLOCK", 2)
+    vectors = {i: [float(i % 5), float(i % 3), 1.0] for i in range(40)}
+    df = spark.createDataFrame(list(vectors.items()), "id long, v array<double>")
+    got = J.top_by_product(df.where("id % 10 = 0").selectExpr("id AS qid", "v AS q"), df, 4).collect()
+    for q in (0, 10, 20, 30):
+        want = sorted(vectors, key=lambda i: (-sum(a * b for a, b in zip(vectors[i], vectors[q], strict=True)), i))[:4]
+        assert [r.id for r in sorted((r for r in got if r.qid == q), key=lambda r: r["rank"])] == want
 
 
 def test_filters(spark):
@@ -197,6 +241,6 @@ def test_plans(spark):
     def plan(name):
         return QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
 
-    assert "TakeOrderedAndProject" in plan("topk_vector")
+    assert "TakeOrderedAndProject" in plan("ext_fn_strings") and "WindowGroupLimit" in plan("topk_vector")
     assert "PushedFilters: [IsNotNull(role), EqualTo(role,user)" in plan("join_en_it")
     assert "struct<source:string>" in plan("agg_works_per_author")

@@ -116,11 +116,47 @@ def label_mode(pairs: DataFrame, target: str, label: str, position: str) -> Data
     return counts.groupBy(target).agg(F.min(F.struct((-F.col("n")).alias("n"), "first", label)).alias("best")).select(target, f"best.{label}")
 
 
-def majority_title(rows: DataFrame, group: str, title: Column) -> DataFrame:
-    """(group, title): the normalised title that more than half of the group has, else null."""
-    counts = rows.select(group, T.title_norm(title).alias("title")).groupBy(group, "title").agg(F.count("*").alias("n"))
-    best = counts.groupBy(group).agg(F.sum("n").alias("total"), F.max(F.struct("n", "title")).alias("top"))
-    return best.select(group, F.when(F.col("top.n") * 2 > F.col("total"), F.col("top.title")).alias("title"))
+def _commonest(rows: DataFrame, group: list[str], by: Column, raw: Column) -> DataFrame:
+    """(group, best, n, second, total): of the most frequent ``by`` the most frequent ``raw``, how often ``by`` is met, and the runner-up."""
+    counts = rows.select(*group, by.alias("by"), raw.alias("raw")).groupBy(*group, "by", "raw").agg(F.count("*").alias("n"))
+    each = counts.groupBy(*group, "by").agg(F.sum("n").alias("n"), F.min(F.struct((-F.col("n")).alias("less"), "raw")).alias("top"))
+    place = Window.partitionBy(*group).orderBy(F.desc("n"), "by")
+    ranked = each.withColumn("place", F.row_number().over(place))
+    return ranked.groupBy(*group).agg(F.min(F.when(F.col("place") == 1, F.col("top.raw"))).alias("best"), F.max("n").alias("n"), F.coalesce(F.max(F.when(F.col("place") == 2, F.col("n"))), F.lit(0)).alias("second"), F.sum("n").alias("total"))
+
+
+def majority_title(rows: DataFrame, group: str, title: Column, work: str | None = None) -> DataFrame:
+    """(group, title): what most of a group's titles agree on, as one of them spells it; else null.
+
+    First the whole title, compared in its normal form, if more than half have it.  Else, if all have the form "work — rest", the
+    part before the dash, if more than half agree on that.  Else, if all rests agree, that rest under the name that the
+    titles of the whole ``work`` have more often than any other.  Ties in spelling go to the smaller text.
+    """
+    dash = " \u2014 "
+    flat = F.regexp_replace(title, " [\u2013\u2014-] ", dash)
+    rows = rows.select(group, *([work] if work and work != group else []), title.alias("_t"), F.split_part(flat, F.lit(dash), F.lit(1)).alias("_head"), F.when(flat.contains(dash), F.substring(flat, F.instr(flat, dash) + 3, F.length(flat))).alias("_rest")).where("_t is not null")
+
+    def named(found: DataFrame, prefix: str, on: str) -> DataFrame:
+        return found.select(on, *[F.col(c).alias(f"{prefix}_{c}") for c in ("best", "n", "second", "total")])
+
+    whole = named(_commonest(rows, [group], T.title_norm(F.col("_t")), F.col("_t")), "t", group)
+    parted = rows.where("_rest is not null")
+    heads = named(_commonest(parted, [group], T.title_norm(F.col("_head")), F.col("_head")), "h", group)
+    rests = named(_commonest(parted, [group], T.title_norm(F.col("_rest")), F.col("_rest")), "r", group)
+    joined = whole.join(heads, group, "left").join(rests, group, "left")
+    if work:
+        votes = named(_commonest(parted, [work], T.title_norm(F.col("_head")), F.col("_head")), "w", work)
+        joined = joined.join(rows.groupBy(group).agg(F.min(work).alias(work)), group).join(votes, work, "left") if work != group else joined.join(votes, work, "left")
+        winner = F.when(F.col("w_n") > F.col("w_second"), F.col("w_best"))
+    else:
+        winner = F.lit(None).cast("string")
+    every = F.col("h_total") == F.col("t_total")
+    ladder = (
+        F.when(F.col("t_n") * 2 > F.col("t_total"), F.col("t_best"))
+        .when(every & (F.col("h_n") * 2 > F.col("h_total")), F.col("h_best"))
+        .when(every & (F.col("r_n") == F.col("r_total")), F.concat(winner, F.lit(dash), F.col("r_best")))
+    )
+    return joined.select(group, ladder.alias("title"))
 
 
 def completion(leaves: DataFrame, group: str, done: Column) -> DataFrame:

@@ -67,21 +67,27 @@ def toc_order(chapter: str, position: str) -> list[Column]:
     return [F.col(chapter).asc_nulls_first(), F.col(position).asc()]
 
 
-def numbered(rows: DataFrame, order: list[Column], group: str | None = None) -> DataFrame:
-    """Rows with their place (``pos``, from 1); within a group if one is given.
-
-    Rows are sorted into ranges over all tasks, by group first, so that no task holds a whole group; a place is the
-    one inside the range and what lies in the ranges before it, from counts by group and range.
-    """
+def _ranges(rows: DataFrame, order: list[Column], group: str | None, value: Column) -> DataFrame:
+    """``rows`` sorted into ranges over all tasks, by group first, with ``_here``, the sum of ``value`` over the range's rows of the group
+    up to each row, and ``_before``, that of the ranges before it."""
     by = [F.col(group).asc()] if group else []
-    keyed = rows.withColumn("_g", F.struct(F.col(group).alias("g")) if group else F.struct(F.lit(0).alias("g")))
-    at = F.monotonically_increasing_id()
-    held = written(keyed.orderBy(*by, *order).withColumns({"_part": F.spark_partition_id(), "_at": at.bitwiseAND(F.lit((1 << 33) - 1))}))
-    counts = held.groupBy("_g", "_part").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    keyed = rows.withColumns({"_g": F.struct((F.col(group) if group else F.lit(0)).alias("g")), "_v": value.cast("long")})
+    held = written(keyed.orderBy(*by, *order).withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}))
+    totals = held.groupBy("_g", "_part").agg(F.sum("_v").alias("_n"))
     before = F.sum("_n").over(Window.partitionBy("_g").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))  # a row for each range
-    starts = written(counts.select("_g", "_part", "_first", F.coalesce(before, F.lit(0)).alias("_before")))
-    placed = held.join(small(starts), ["_g", "_part"])
-    return placed.select(*rows.columns, (F.col("_at") - F.col("_first") + F.col("_before") + 1).alias("pos"))
+    starts = written(totals.select("_g", "_part", F.coalesce(before, F.lit(0)).alias("_before")))
+    here = F.sum("_v").over(Window.partitionBy("_g", "_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0))
+    return held.withColumn("_here", here).join(small(starts), ["_g", "_part"])
+
+
+def numbered(rows: DataFrame, order: list[Column], group: str | None = None) -> DataFrame:
+    """Rows with their place (``pos``, from 1); within a group if one is given.  No task holds a whole group."""
+    return _ranges(rows, order, group, F.lit(1)).select(*rows.columns, (F.col("_here") + F.col("_before")).alias("pos"))
+
+
+def running(rows: DataFrame, order: list[Column], group: str, value: Column, name: str) -> DataFrame:
+    """Rows with ``name``: the sum of ``value`` over the rows of their group before them.  No task holds a whole group."""
+    return _ranges(rows, order, group, value).select(*rows.columns, (F.col("_here") + F.col("_before") - F.col("_v")).alias(name))
 
 
 def page(rows: DataFrame, order: list[Column], size: int, number: int) -> DataFrame:

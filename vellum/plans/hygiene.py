@@ -33,7 +33,20 @@ pair_query("qa_truncated", "length(en) >= 200 AND 2 * length(it) + 80 < length(e
 pair_query("qa_length_band", "length(it) / length(en) BETWEEN 0.6 AND 1.9", H.in_length_band)
 pair_query("qa_rows_heading", "len(string_split(en, chr(10))) = len(string_split(it, chr(10))) AND string_split(en, chr(10))[1] = string_split(it, chr(10))[1]", lambda a, b: (F.size(F.split(a, "\n")) == F.size(F.split(b, "\n"))) & (F.split(a, "\n")[0] == F.split(b, "\n")[0]))
 pair_query("qa_validate", "coalesce(array_to_string(list_filter([CASE WHEN trim(it) = '' THEN 'missing' END, CASE WHEN length(it) > 2 * length(en) + 80 THEN 'fabricated' END, CASE WHEN length(en) >= 200 AND 2 * length(it) + 80 < length(en) THEN 'truncated' END], lambda x: x IS NOT NULL), ','), '')", lambda a, b: F.array_join(H.problems(a, b), ","))
-pair_query("indent_check", "0::BIGINT", lambda a, b: F.size(H.indent_differs(a, a)).cast("long"))
+
+
+#: Verse whose every third line is set in, and a translation that sets in every line whose length divides by four.
+VERSE = "v AS (SELECT doc_id, list_transform(string_split(text, chr(10)), lambda x, i: CASE WHEN i % 3 = 0 THEN '  ' ELSE '' END || x) AS a, list_transform(string_split(text, chr(10)), lambda x, i: CASE WHEN length(x) % 4 = 0 THEN '  ' ELSE '' END || x) || CASE WHEN doc_id % 5 = 0 THEN ['more'] ELSE [] END AS b FROM documents)"
+
+
+@query("indent_check", f"WITH {VERSE} SELECT doc_id, CASE WHEN len(a) = len(b) THEN array_to_string(list_transform(list_filter(range(1, len(a) + 1), lambda i: regexp_extract(a[i], '^[ \\t\\x{{00A0}}]*') <> regexp_extract(b[i], '^[ \\t\\x{{00A0}}]*')), lambda i: (i - 1)::VARCHAR), ',') ELSE '' END AS lines FROM v")
+def indent_check(spark, sf_dir):
+    lines = F.split("text", "\n", -1)
+    source = F.transform(lines, lambda x, i: F.concat(F.when((i + 1) % 3 == 0, "  ").otherwise(""), x))
+    translated = F.transform(lines, lambda x: F.concat(F.when(F.length(x) % 4 == 0, "  ").otherwise(""), x))
+    more = F.when(F.col("doc_id") % 5 == 0, "\nmore").otherwise("")
+    rows = docs(spark, sf_dir).select("doc_id", H.indent_differs(F.array_join(source, "\n"), F.concat(F.array_join(translated, "\n"), more)).alias("lines"))
+    return rows.withColumn("lines", F.array_join(F.transform("lines", lambda i: i.cast("string")), ","))
 
 
 def marked_query(name, sql, make):
@@ -46,25 +59,31 @@ marked_query("qa_mask_residue", r"regexp_matches(replace(marked, '[[topos', '[[L
 marked_query("qa_brackets", "(len(regexp_extract_all(replace(marked, '|the]]', '|the'), '\\[\\[')) - len(regexp_extract_all(replace(marked, '|the]]', '|the'), '\\]\\]')))::BIGINT", lambda m: H.unbalanced(F.replace(m, F.lit("|the]]"), F.lit("|the"))).cast("long"))
 
 
-@query("mojibake_scan", "SELECT doc_id, len(regexp_extract_all(t, 'Ã[^\\s]|â€'))::BIGINT AS n FROM (SELECT doc_id, replace(replace(text, ' der ', ' Ã¼ber '), ' que ', ' â€œ ') AS t FROM documents WHERE lang IN ('de', 'es')) WHERE regexp_matches(t, 'Ã[^\\s]|â€')")
+@query("mojibake_scan", "WITH t AS (SELECT doc_id, replace(replace(replace(text, ' der ', ' Ã¼ber '), ' que ', ' â€œ '), ' the ', CASE WHEN doc_id % 3 = 0 THEN ' Â£ ' ELSE ' the ' END) AS t FROM documents), h AS (SELECT doc_id, t, regexp_extract_all(t, 'Ã[^\\s]|â€|Â£') AS hits FROM t), f AS (SELECT *, strpos(t, hits[1]) AS first FROM h WHERE len(hits) > 0) SELECT doc_id, len(hits)::BIGINT AS n, (length(substr(t, 1, first - 1)) - length(replace(substr(t, 1, first - 1), chr(10), '')) + 1)::BIGINT AS line, regexp_replace(substr(t, greatest(1, first - 30), least(first - 1, 30) + 30), '\\s+', ' ', 'g') AS sample FROM f")
 def mojibake_scan(spark, sf_dir):
     bad = F.replace(F.replace(F.col("text"), F.lit(" der "), F.lit(" Ã¼ber ")), F.lit(" que "), F.lit(" â€œ "))
-    rows = docs(spark, sf_dir).where("lang in ('de', 'es')").select("doc_id", bad.alias("t"))
-    return H.mojibake(rows, "doc_id", "t").select("doc_id", F.col("n").cast("long").alias("n"))
+    bad = F.replace(bad, F.lit(" the "), F.when(F.col("doc_id") % 3 == 0, " Â£ ").otherwise(" the "))
+    found = H.mojibake(docs(spark, sf_dir).select("doc_id", bad.alias("t")), "doc_id", "t")
+    return found.select("doc_id", F.col("n").cast("long").alias("n"), F.col("line").cast("long").alias("line"), "sample")
 
 
-@query("gutenberg_strip", "SELECT doc_id, md5(chr(10) || regexp_replace(text, '\\s+$', '') || chr(10)) AS digest FROM documents")
+@query("gutenberg_strip", "SELECT doc_id, md5(CASE doc_id % 3 WHEN 0 THEN chr(10) ELSE '' END || regexp_replace(CASE doc_id % 3 WHEN 2 THEN text || chr(10) || 'END OF LINE' ELSE text END, '\\s+$', '') || chr(10)) AS digest FROM documents")
 def gutenberg_strip(spark, sf_dir):
-    dressed = F.concat(F.lit("junk\n*** START OF THE PROJECT GUTENBERG EBOOK X ***\n"), "text", F.lit("\n*** END OF THE PROJECT GUTENBERG EBOOK X ***\nlicence"))
+    """Texts with both marks, with the end mark alone, and with none."""
+    end = "\n*** END OF THE PROJECT GUTENBERG EBOOK X ***\nlicence"
+    dressed = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("junk\n*** START OF THE PROJECT GUTENBERG EBOOK X ***\n"), "text", F.lit(end))).when(F.col("doc_id") % 3 == 1, F.concat("text", F.lit(end))).otherwise(F.concat("text", F.lit("\nEND OF LINE")))
     return docs(spark, sf_dir).select("doc_id", F.md5(H.strip_boilerplate(dressed)).alias("digest"))
 
 
-@query("cast_count", "SELECT doc_id, (CASE WHEN doc_id % 3 = 0 THEN 2 ELSE 1 END)::BIGINT AS first, 1::BIGINT AS second FROM documents")
+CAST = "replace(replace(text, ' the ', CASE WHEN n_chars % 4 = 0 THEN ' Persons of the Play ' ELSE ' the ' END), ' of ', CASE WHEN n_chars % 5 = 0 THEN '<split>PERSONS OF THE PLAY ' ELSE ' of ' END)"
+
+
+@query("cast_count", f"SELECT doc_id, array_to_string(list_transform(string_split({CAST}, '<split>'), lambda h: ((length(h) - length(replace(lower(h), 'persons of the play', ''))) // 19)::VARCHAR), ',') AS counts FROM documents")
 def cast_count(spark, sf_dir):
-    mark = "PERSONS OF THE PLAY\n"
-    text = F.concat(F.lit(mark), F.when(F.col("doc_id") % 3 == 0, mark).otherwise(""), F.col("lang"), F.lit("<split>" + mark))
-    counts = H.cast_counts(text, "<split>")
-    return docs(spark, sf_dir).select("doc_id", counts[0].cast("long").alias("first"), counts[1].cast("long").alias("second"))
+    """Whole texts in halves; how often each lists the persons."""
+    text = F.replace(F.col("text"), F.lit(" the "), F.when(F.col("n_chars") % 4 == 0, " Persons of the Play ").otherwise(" the "))
+    text = F.replace(text, F.lit(" of "), F.when(F.col("n_chars") % 5 == 0, "<split>PERSONS OF THE PLAY ").otherwise(" of "))
+    return docs(spark, sf_dir).select("doc_id", F.array_join(F.transform(H.cast_counts(text, "<split>"), lambda n: n.cast("string")), ",").alias("counts"))
 
 
 @query("align_cost", f"WITH {BOTH}, b AS (SELECT conv_id, turn, string_split(en, chr(10)) AS a, string_split(it, chr(10)) AS b FROM both_) SELECT conv_id, turn, round(coalesce(list_sum(list_transform(range(1, least(len(a), len(b)) + 1), lambda i: abs(ln(greatest(length(b[i]), 1) / (1.12 * greatest(length(a[i]), 1)))))), 0) + 3.0 * abs(len(a) - len(b)), 6)::DOUBLE AS cost FROM b")
@@ -93,27 +112,35 @@ def mask_unmask(spark, sf_dir):
     return back.select("doc_id", F.md5("back").alias("digest"))
 
 
-@query("lex_repair", r"SELECT doc_id, regexp_replace(text, '(?i)(^|[^\p{L}\p{N}_\[|])(the)($|[^\p{L}\p{N}_\]|])', '\1[[concepts/the-one|\2]]\3') AS repaired FROM documents")
+@query("lex_repair", f"WITH {BASE} SELECT doc_id, md5(marked) AS digest FROM base")
 def lex_repair(spark, sf_dir):
-    return H._per_row(base(spark, sf_dir), "doc_id", ["text"], lambda t: H.repair_links(t, ["concepts/the-one"], {"the": "concepts/the-one"}), "repaired", "string")
+    """Translations whose links, some or all, lost their targets to codes; the source's own targets put them back."""
+    coded = F.replace(F.col("marked"), F.lit("[[concepts/the-one|"), F.lit("[[L07|"))
+    coded = F.when(F.col("doc_id") % 2 == 0, F.replace(coded, F.lit("[[topos/de-la]]"), F.lit("[[L08|topos/de-la]]"))).otherwise(coded)
+    rows = base(spark, sf_dir).select("doc_id", coded.alias("coded"), F.regexp_extract_all("marked", F.lit(r"\[\[([^\[\]|]+)"), F.lit(1)).alias("wanted"))
+    return H._per_row(rows, "doc_id", ["coded", "wanted"], lambda t, w: H.repair_links(t or "", w or []), "repaired", "string").select("doc_id", F.md5("repaired").alias("digest"))
 
 
-@query("wrap_lost_link", "SELECT doc_id, CASE WHEN regexp_matches(text, '(?i)\\bund\\b') THEN 1 ELSE 0 END::BIGINT AS links FROM documents WHERE lang = 'en' OR NOT regexp_matches(text, '[^\\x00-\\x7F]')")
+@query("wrap_lost_link", "SELECT doc_id, CASE WHEN regexp_matches(text, '(?i)(^|[^\\p{L}\\p{N}_])und($|[^\\p{L}\\p{N}_])') THEN 1 ELSE 0 END::BIGINT AS links FROM documents")
 def wrap_lost_link(spark, sf_dir):
-    rows = docs(spark, sf_dir).where("lang = 'en' or not text rlike '[^\\\\x00-\\\\x7F]'")
-    wrapped = H._per_row(rows, "doc_id", ["text"], lambda t: H.wrap_lost(t, "concepts/and", "und"), "t", "string")
+    wrapped = H._per_row(docs(spark, sf_dir), "doc_id", ["text"], lambda t: H.wrap_lost(t or "", "concepts/and", "und"), "t", "string")
     return wrapped.select("doc_id", F.regexp_count("t", F.lit(r"\[\[concepts/and\|")).cast("long").alias("links"))
 
 
-@query("overlap_trim", "SELECT doc_id, len(a)::BIGINT AS kept FROM (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: true) AS a FROM documents)")
+RUN_ON = "r AS (SELECT doc_id, doc_id // 20 AS run, string_split(text, chr(10)) AS a FROM documents), n AS (SELECT doc_id, a, lead(a) OVER (PARTITION BY run ORDER BY doc_id) AS b FROM r), o AS (SELECT doc_id, list_concat(a, CASE WHEN doc_id % 3 = 0 THEN b[1:1 + doc_id % 4] ELSE [] END) AS a, b FROM n)"
+
+
+@query("overlap_trim", f"WITH {RUN_ON}, k AS (SELECT doc_id, a, coalesce(list_max(list_filter(range(1, least(len(a), len(b)) + 1), lambda k: a[len(a) - k + 1:] = b[1:k])), 0) AS k FROM o) SELECT doc_id, md5(array_to_string(a[1:len(a) - k], chr(10))) AS digest FROM k")
 def overlap_trim(spark, sf_dir):
-    from vellum.operators.sequences import overlap
+    """Units that run on into the next one's lines lose those."""
+    from vellum.operators.sequences import neighbours, overlap
 
-    a = F.split("text", "\n")
-    shared = F.slice(a, F.size(a), F.lit(1))
-    longer = F.concat(a, shared)
-    k = overlap(longer, F.concat(shared, F.array(F.lit("next"))))
-    return docs(spark, sf_dir).select("doc_id", F.size(F.slice(longer, F.lit(1), F.size(longer) - F.least(k, F.lit(1)))).cast("long").alias("kept"))
+    lines_ = F.split("text", "\n", -1)
+    rows = neighbours(docs(spark, sf_dir).select("doc_id", F.floor(F.col("doc_id") / 20).alias("run"), lines_.alias("a")), "run", "doc_id", "a")
+    long_ = F.concat("a", F.when((F.col("doc_id") % 3 == 0) & F.col("next").isNotNull(), F.slice("next", F.lit(1), (1 + F.col("doc_id") % 4).cast("int"))).otherwise(F.array().cast("array<string>")))
+    rows = rows.withColumn("long", long_)
+    k = F.coalesce(overlap(F.col("long"), F.col("next")), F.lit(0))
+    return rows.select("doc_id", F.md5(F.array_join(F.slice("long", F.lit(1), F.size("long") - k), "\n")).alias("digest"))
 
 
 @query("dedupe_titles", f"WITH {NOTES} SELECT a.slug, CASE WHEN a.title = w.title THEN w.slug ELSE a.title END AS title FROM notes a JOIN notes w ON w.slug = a.work")
@@ -123,28 +150,36 @@ def dedupe_titles(spark, sf_dir):
     return rows.join(works, "work").select("slug", F.when(F.col("title") == F.col("work_title"), F.col("work_slug")).otherwise(F.col("title")).alias("title"))
 
 
-@query("speaker_lines", "SELECT conv_id, turn, upper(role) AS speaker, length(trim(regexp_replace(text, '\\s+', ' ', 'g'))) AS size FROM conversations WHERE NOT contains(text, '|')")
+@query("speaker_lines", "SELECT conv_id, turn, upper(role) AS speaker, md5('[[x|' || role || ']] ' || trim(regexp_replace(replace(text, '|', '/'), '\\s+', ' ', 'g'))) AS said FROM conversations")
 def speaker_lines(spark, sf_dir):
-    flat = F.trim(F.regexp_replace("text", r"\s+", " "))
-    speaker, said = H.speaker_line(F.concat(F.lit("| "), F.upper("role"), F.lit(" | "), flat, F.lit(" |")))
-    return table(spark, sf_dir, "conversations").where(~F.col("text").contains("|")).select("conv_id", "turn", speaker.alias("speaker"), F.length(said).cast("long").alias("size"))
+    """Table rows whose words hold a link with an escaped pipe."""
+    flat = F.trim(F.regexp_replace(F.replace(F.col("text"), F.lit("|"), F.lit("/")), r"\s+", " "))
+    row = F.concat(F.lit("| "), F.upper("role"), F.lit(" | [[x\\|"), "role", F.lit("]] "), flat, F.lit(" |"))
+    speaker, said = H.speaker_line(row)
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", speaker.alias("speaker"), F.md5(said).alias("said"))
 
 
-@query("near_dup_jaccard", f"WITH {LINES}, w AS (SELECT doc_id, pos, list_distinct(regexp_extract_all(lower(line), '[a-z]+')) AS w FROM line), n AS (SELECT doc_id, pos, w, lead(w) OVER (PARTITION BY doc_id ORDER BY pos) AS x FROM w) SELECT doc_id, pos FROM n WHERE x IS NOT NULL AND len(w || x) > 0 AND len(list_intersect(w, x)) / len(list_distinct(w || x)) >= 0.3")
+@query("near_dup_jaccard", f"WITH {LINES}, w AS (SELECT doc_id, pos, list_distinct(regexp_extract_all(lower(line), '[\\p{{L}}\\p{{N}}_]+')) AS w FROM line), n AS (SELECT doc_id, pos, w, lead(w) OVER (PARTITION BY doc_id ORDER BY pos) AS x FROM w) SELECT doc_id, pos FROM n WHERE x IS NOT NULL AND len(w || x) > 0 AND len(list_intersect(w, x)) / len(list_distinct(w || x)) >= 0.3")
 def near_dup_jaccard(spark, sf_dir):
-    return H.near_dup_blocks(lines(spark, sf_dir), "doc_id", "pos", F.regexp_replace("line", "(?s)[^A-Za-z]+", " "), 0.3).select("doc_id", "pos")
+    return H.near_dup_blocks(lines(spark, sf_dir), "doc_id", "pos", F.col("line"), 0.3).select("doc_id", "pos")
 
 
-@query("stray_heading", f"WITH {LINES} SELECT doc_id, count(*) AS blocks, 0::BIGINT AS headings FROM line GROUP BY doc_id")
+@query("stray_heading", f"WITH {LINES} SELECT doc_id, count(*) AS blocks, count(CASE WHEN CASE WHEN doc_id % 4 = 0 THEN length(line) % 2 = 0 ELSE length(line) % 2 = 0 AND length(line) % 3 = 0 END THEN 1 END) AS headings FROM line GROUP BY doc_id")
 def stray_heading(spark, sf_dir):
-    a = F.split("text", "\n")
-    fixed = H.stray_headings(a, F.transform(a, lambda x: F.concat(F.lit("## "), x)))
+    """Source blocks of a length divisible by three are headings, translated ones of an even length; every fourth text lacks a block."""
+    a = F.split("text", "\n", -1)
+    source = F.transform(a, lambda x: F.when(F.length(x) % 3 == 0, F.concat(F.lit("# "), x)).otherwise(x))
+    source = F.when(F.col("doc_id") % 4 == 0, F.concat(source, F.array(F.lit("one more")))).otherwise(source)
+    fixed = H.stray_headings(source, F.transform(a, lambda x: F.when(F.length(x) % 2 == 0, F.concat(F.lit("## "), x)).otherwise(x)))
     return docs(spark, sf_dir).select("doc_id", F.size(fixed).cast("long").alias("blocks"), F.size(F.filter(fixed, lambda x: x.startswith("## "))).cast("long").alias("headings"))
 
 
-@query("heading_close", "SELECT doc_id, '# [[' || source || '|' || lang || ']] (part ' || doc_id || ')' AS line FROM documents")
+@query("heading_close", "SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN '# [[' || source || '|' || lang || ']] (part ' || doc_id || ')' WHEN 1 THEN '# [[' || source || ']]' ELSE '# [[a [[' || source || ' ]] x' END AS line FROM documents")
 def heading_close(spark, sf_dir):
-    line = F.concat(F.lit("# [["), "source", F.lit("|"), "lang", F.lit(" (part "), F.col("doc_id").cast("string"), F.lit(")"))
+    """Headings with an open link, with a sound one, and with one that closing its last link does not mend."""
+    n = F.col("doc_id") % 3
+    open_ = F.concat(F.lit("# [["), "source", F.lit("|"), "lang", F.lit(" (part "), F.col("doc_id").cast("string"), F.lit(")"))
+    line = F.when(n == 0, open_).when(n == 1, F.concat(F.lit("# [["), "source", F.lit("]]"))).otherwise(F.concat(F.lit("# [[a [["), "source", F.lit(" ]] x")))
     return docs(spark, sf_dir).select("doc_id", H.close_heading(line).alias("line"))
 
 
@@ -215,11 +250,14 @@ def rerun_guard(spark, sf_dir):
     return notes(spark, sf_dir).where(~F.array_contains("tags", "author/src1")).select("slug")
 
 
-@query("chapter_detect", "SELECT doc_id, 0::BIGINT AS pos FROM documents WHERE doc_id % 2 = 0")
+#: Whole texts, where a line of a length divisible by seven becomes a numeral, and one divisible by five a title in capitals.
+BOOK = "b AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM documents), c AS (SELECT doc_id, pos, CASE WHEN length(line) % 7 = 0 THEN 1 WHEN length(line) % 5 = 0 THEN 2 ELSE 0 END AS kind FROM b)"
+
+
+@query("chapter_detect", f"WITH {BOOK} SELECT doc_id, pos FROM (SELECT doc_id, pos, kind, max(CASE WHEN kind = 2 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND 4 FOLLOWING) AS titled FROM c) WHERE kind = 1 AND titled = 1")
 def chapter_detect(spark, sf_dir):
-    text = F.concat(F.when(F.col("doc_id") % 2 == 0, "IV.\n\nTHE WAR").otherwise("IV.\n\nthe war"), F.lit("\nx\n"), F.col("lang"))
-    rows = docs(spark, sf_dir).select("doc_id", F.posexplode(F.split(text, "\n")).alias("pos", "line"))
-    return H.chapter_starts(rows, "doc_id", "pos", "line").select("doc_id", F.col("pos").cast("long").alias("pos"))
+    put = F.when(F.length("line") % 7 == 0, "XIV.").when(F.length("line") % 5 == 0, "THE WAR OF WORDS").otherwise(F.concat(F.lit("x "), "line"))
+    return H.chapter_starts(lines(spark, sf_dir).withColumn("line", put), "doc_id", "pos", "line").select("doc_id", "pos")
 
 
 @query("tag_store_refresh", f"WITH {NOTES} SELECT slug, lang AS tag FROM notes WHERE author <> 'src2' UNION ALL SELECT slug, 'fresh' FROM notes WHERE author = 'src2'")

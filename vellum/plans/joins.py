@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from vellum.operators import joins as J
+from vellum.operators import ordering as O
 from vellum.plans.notes import NOTES, notes
 from vellum.plans.registry import query, table
 
@@ -27,10 +28,9 @@ def edges(spark, sf_dir):
 @query("join_concept_works", f"WITH {NOTES}, member AS (SELECT lang || '/' || author AS concept, slug, row_number() OVER (PARTITION BY lang, author ORDER BY doc_id) - 1 AS pos FROM notes) SELECT m.concept, m.pos::BIGINT AS pos, n.slug, n.title FROM member m JOIN notes n ON n.slug = m.slug WHERE coalesce(n.quality, 1) = 1")
 def join_concept_works(spark, sf_dir):
     rows = notes(spark, sf_dir)
-    members = F.transform(F.sort_array(F.collect_list(F.struct("doc_id", "slug"))), lambda s: s["slug"])
-    concepts = rows.groupBy(F.concat_ws("/", "lang", "author").alias("concept")).agg(members.alias("works"))
+    members = O.numbered(rows.select(F.concat_ws("/", "lang", "author").alias("concept"), "doc_id", "slug"), [F.col("doc_id").asc()], "concept")
     works = rows.where(F.coalesce("quality", F.lit(1)) == 1).select("slug", "title")
-    return J.ordered_lookup(concepts, "works", works, "slug").select("concept", F.col("pos").cast("long").alias("pos"), "slug", "title")
+    return J.placed_lookup(members, works, "slug").select("concept", (F.col("pos") - 1).alias("pos"), "slug", "title")
 
 
 @query("join_keyword", f"WITH {NOTES} SELECT n.slug, coalesce(p.p_name, '') AS keywords FROM notes n LEFT JOIN part p ON p.p_partkey = n.doc_id * 3 + 1")

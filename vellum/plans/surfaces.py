@@ -103,12 +103,14 @@ def src_leaf_walk(spark, sf_dir):
     return R.leaves(leaf.unionByName(own), "path")
 
 
-@query("sink_shards", "SELECT lang, count(*) AS n FROM documents GROUP BY lang")
+@query("sink_shards", "WITH r AS (SELECT lang, doc_id, text AS c, coalesce(sum(strlen(to_json({'doc_id': doc_id, 'c': text})) + 1) OVER (PARTITION BY lang ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM documents) SELECT lang, floor(before / 50000)::BIGINT AS bucket, count(*) AS n, min(doc_id) AS first, sum(length(c))::BIGINT AS chars FROM r GROUP BY ALL")
 def sink_shards(spark, sf_dir):
+    """Whole texts in buckets of about 50,000 bytes of JSON a language, written and read again."""
     at = scratch(spark)
-    rows = K.bucketed(docs(spark, sf_dir).select("lang", "doc_id", F.substring("text", 1, 400).alias("c")), "lang", "doc_id", F.struct("doc_id", "c"), 50_000)
+    rows = K.bucketed(docs(spark, sf_dir).select("lang", "doc_id", F.col("text").alias("c")), "lang", "doc_id", F.struct("doc_id", "c"), 50_000)
     K.write_shards(rows, at, "lang")
-    return spark.read.json(at).groupBy("lang").agg(F.count("*").alias("n"))
+    back = spark.read.schema("lang string, bucket long, doc_id long, c string").json(at)
+    return back.groupBy("lang", "bucket").agg(F.count("*").alias("n"), F.min("doc_id").alias("first"), F.sum(F.length("c")).alias("chars"))
 
 
 @query("sink_upsert_store", "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'new' ELSE lang END AS value FROM documents UNION ALL SELECT item_id + 1000000, 'new' FROM benchmark")
@@ -158,11 +160,14 @@ def sink_pages(spark, sf_dir):
     return docs(spark, sf_dir).select("doc_id", K.page_html(F.col("source"), F.split("text", "\n", -1), F.col("lang")).alias("html"))
 
 
-@query("sink_cap_guard", "SELECT true AS under")
+@query("sink_cap_guard", "SELECT source, count(*) AS notes, true AS under FROM documents GROUP BY source")
 def sink_cap_guard(spark, sf_dir):
+    """Whole texts written by source; each source's files, looked through again, are under the cap."""
     at = scratch(spark)
-    docs(spark, sf_dir).select("doc_id", "source").write.json(at)
-    return K.guard(spark, at).agg(F.every(F.col("bytes") <= K.HARD_CAP).alias("under"))
+    docs(spark, sf_dir).select("source", "doc_id", "text").repartition("source").write.partitionBy("source").json(at)
+    files = K.guard(spark, at).select(F.regexp_extract("path", "source=([^/]+)/", 1).alias("source"), "bytes").where("source <> ''")
+    notes_ = spark.read.schema("source string, doc_id long").json(at).groupBy("source").agg(F.count("*").alias("notes"))
+    return notes_.join(files.groupBy("source").agg(F.every(F.col("bytes") <= K.HARD_CAP).alias("under")), "source")
 
 
 LISTS = "a AS (SELECT doc_id, md5(text) AS v FROM documents WHERE doc_id % 5 <> 0), b AS (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN 'new' ELSE md5(text) END AS v FROM documents WHERE doc_id % 3 <> 0)"

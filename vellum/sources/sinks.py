@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vellum.functions.text import esc_html
+from vellum.operators.ordering import running
 
 #: No file may be larger, and tiers above their soft size are reported.
 HARD_CAP = 25 * 1024 * 1024
@@ -18,9 +19,8 @@ def json_bytes(row: Column) -> Column:
 
 def bucketed(rows: DataFrame, group: str, order: str, row: Column, target: int) -> DataFrame:
     """Rows with ``bucket``: each about ``target`` bytes of JSON, by running size within a group."""
-    size = json_bytes(row)
-    before = F.coalesce(F.sum(size + 1).over(Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return rows.withColumn("bucket", F.floor(before / target).cast("int"))
+    summed = running(rows, [F.col(order).asc()], group, json_bytes(row) + 1, "_before_bytes")
+    return summed.withColumn("bucket", F.floor(F.col("_before_bytes") / target).cast("int")).drop("_before_bytes")
 
 
 def write_shards(rows: DataFrame, path: str, group: str = "tier") -> DataFrame:
@@ -39,9 +39,9 @@ def guard(spark, path: str, cap: int = HARD_CAP) -> DataFrame:
 
 
 def upsert(store: DataFrame, fresh: DataFrame, key: str) -> DataFrame:
-    """Fresh rows replace those of their key; of fresh rows with one key the last by ``at`` counts."""
+    """Fresh rows replace those of their key; of fresh rows with one key the last by ``at`` counts, of those the greatest by its other columns."""
     both = store.withColumn("_new", F.lit(0)).withColumn("at", F.lit(0).cast("long") if "at" not in store.columns else F.col("at")).unionByName(fresh.withColumn("_new", F.lit(1)))
-    latest = Window.partitionBy(key).orderBy(F.desc("_new"), F.desc("at"))
+    latest = Window.partitionBy(key).orderBy(F.desc("_new"), F.desc("at"), *(F.desc(c) for c in store.columns if c not in (key, "at")))
     return both.withColumn("_n", F.row_number().over(latest)).where("_n = 1").drop("_n", "_new")
 
 
