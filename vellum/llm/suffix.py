@@ -11,10 +11,13 @@ cut into snippets, each position in exactly one.
    strings, their bytes are fetched by a join with the texts, and dealt by anchor.
 3. Each part sorts all suffixes of its strings by the difference-cover algorithm (sorted sampled triples,
    recursion on names, merge of the rest) and compares prefixes of adjacent suffixes; equal ones are
-   removed but in the least document.  Strings of an anchor with more than ``HOT`` of them are grouped by
-   each 50 bytes instead, with partial sums, so that no task holds a very common passage's surroundings.
+   removed but in the least document.  Strings of an anchor with more than ``HOT`` of them are dealt out one by one, by
+   their 50 bytes themselves, so that no task holds a very common passage's surroundings; the same strings are found.
 4. The removed positions of a document meet its text again.
 
+One sort over all suffixes of a corpus, with every step dealt out, is ``cover``; it moves each byte many times, far beyond what this
+one does (README has figures), so that here only strings that may be equal are brought together before they are sorted.
+
 Texts longer than ``PIECE`` are cut into pieces that overlap by 49 bytes; results do not depend on it.
 """
 
@@ -25,7 +28,6 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -322,13 +324,13 @@ def _sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every 50-byte string of very common anchors, by 128 bits of hash."""
+    """Every 50-byte string of very common anchors, as it is."""
 
     def rows() -> Iterator[tuple]:
         for batch in batches:
             for doc, mark, at, text in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 for i in range(len(text) - SPAN + 1):
-                    yield xxhash.xxh3_128_digest(text[i : i + SPAN]), doc, mark, at + i
+                    yield text[i : i + SPAN], doc, mark, at + i
 
     yield from _batched(rows(), ["window", "doc_id", "mark", "at"], [pa.binary(), pa.int64(), pa.int64(), pa.int64()])
 
