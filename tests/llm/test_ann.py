@@ -1,6 +1,6 @@
 import numpy as np
 
-from vellum.llm.ann import nearest
+from vellum.llm.ann import nearest, shard_count
 
 
 def exact(ids, v, k, every):
@@ -48,3 +48,20 @@ def test_odd_rows(spark):
     df = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<double>, rank int")
     assert [(r.query_id, r.rank, r.vec_id, r.score) for r in nearest(df).orderBy("rank").collect()] == [(0, 1, 1, 0.5), (0, 2, 2, 0.5)]
     assert nearest(df.limit(0)).collect() == []
+
+
+def test_shards_grow_with_the_root_of_the_table():
+    assert shard_count(0) == shard_count(8192) == 1 and shard_count(51_282) == 7
+    many = [shard_count(n) for n in (10**6, 10**8, 10**10)]
+    assert many == sorted(many) and many[2] < 11 * many[1] < 121 * many[0] and many[2] < 10**10 / 8192 / 100
+
+
+def test_recall_on_several_shards_of_default_size(spark):
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(60, 32))
+    v = (centres[rng.integers(0, 60, 18_000)] + rng.normal(size=(18_000, 32)) * 0.7).astype(np.float32)
+    rows = [(i, r.tolist()) for i, r in enumerate(v)]
+    got = grouped(nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), every=200).collect())
+    want = exact(np.arange(18_000), v, 20, 200)
+    assert shard_count(18_000) == 3
+    assert np.mean([len(set(got[i]) & set(want[i])) / 20 for i in want]) >= 0.9

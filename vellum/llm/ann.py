@@ -1,14 +1,17 @@
 """Operator 5: approximate nearest neighbours by a robust-pruned directed graph in each shard.
 
 Equal vectors are one point (with the least ids of its copies, as many as a result can hold), so that a very
-common vector costs one.  Points are dealt by a hash of the id to shards of about ``SHARD``; every shard builds
+common vector costs one.  Points are dealt by a hash of the id to shards; every shard builds
 its graph, answers all queries by beam search, and gives its nearest with exact scores; the nearest of all
-shards are the result.  A shard's task holds its points and graph, and takes the queries as a stream of
+shards are the result.  A shard has ``SHARD`` points, and in large tables ``GROWTH`` times the root of the number of points, since a
+graph search grows only with the logarithm of its shard: queries times shards, and the answers to merge, then grow with the
+power 1.5 of the table.  A shard's task holds its points and graph, and takes the queries as a stream of
 batches.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -20,6 +23,7 @@ from vellum.llm.common import materialise
 from vellum.llm.vamana import BATCH, Graph
 
 SHARD = 8192
+GROWTH = 32
 NEAREST = 20
 BEAM = 100
 EVERY = 20
@@ -94,7 +98,11 @@ def _searcher(k: int, beam: int) -> Callable[[Iterator[pa.RecordBatch]], Iterato
     return run
 
 
-def nearest(table: DataFrame, k: int = NEAREST, every: int = EVERY, shard: int = SHARD, beam: int = BEAM) -> DataFrame:
+def shard_count(points: int, shard: int = SHARD, growth: float = GROWTH) -> int:
+    return max(1, -(-points // max(shard, int(growth * math.sqrt(points)))))
+
+
+def nearest(table: DataFrame, k: int = NEAREST, every: int = EVERY, shard: int = SHARD, beam: int = BEAM, growth: float = GROWTH) -> DataFrame:
     """query_id, rank, vec_id, score: for each vec_id divisible by ``every`` its ``k`` nearest by inner product.
 
     Ties go to the smaller vec_id; a query is not its own neighbour.  Vectors that are null, empty or zero or hold
@@ -103,7 +111,7 @@ def nearest(table: DataFrame, k: int = NEAREST, every: int = EVERY, shard: int =
     ignored.  An empty table gives no rows.
     """
     rows = materialise(usable(table).distinct())
-    shards = max(1, -(-rows.count() // shard))
+    shards = shard_count(rows.count(), shard, growth)
     first = Window.partitionBy("v").orderBy("vec_id")
     points = rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= k + 1).groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("copies"))
     points = points.select(F.size("v").alias("dim"), F.pmod(F.xxhash64(F.col("copies")[0]), F.lit(shards)).cast("int").alias("shard"), F.lit(False).alias("asks"), F.col("copies")[0].alias("vec_id"), "copies", "v")

@@ -19,6 +19,8 @@ ALPHA = 1.2
 #: Points expanded together in a step of the search of one query.
 WIDTH = 4
 BATCH = 256
+#: Queries searched together, times points: a byte each marks what a query has seen.
+SEEN = 1 << 26
 
 
 class Graph:
@@ -43,6 +45,10 @@ class Graph:
 
     def search(self, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids (-1: none) and squared distances (up to each query's constant) of the ``beam`` nearest found, nearest first."""
+        at_once = max(1, SEEN // max(1, self.n))
+        if len(queries) > at_once:
+            parts = [self.search(queries[i : i + at_once], beam) for i in range(0, len(queries), at_once)]
+            return np.concatenate([x for x, _ in parts]), np.concatenate([x for _, x in parts])
         b = len(queries)
         ids = np.full((b, beam), -1, np.int64)
         dist = np.full((b, beam), np.inf, np.float32)
