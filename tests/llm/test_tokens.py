@@ -29,3 +29,11 @@ def test_odd_rows(spark):
     rows = spark.createDataFrame([(1, None, 9), (2, "", 9), (2, "a b", 9), (None, "a", 9)], "doc_id long, text string, n_tokens int")
     assert sorted((r.doc_id or 0, r.n_bytes, r.n_tokens, r.over_limit) for r in token_counts(rows, PATH).collect()) == [(0, 1, 1, False), (1, 0, 0, False), (2, 0, 0, False), (2, 3, 2, False)]
     assert token_counts(rows.limit(0), PATH).collect() == []
+
+
+def test_a_tokenizer_whose_tokens_hold_white_space_encodes_whole_texts():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    t = Tokenizer.from_file(path)
+    counter = Counter(path)
+    assert not counter.parted and Counter(PATH).parted
+    assert counter.count([x.encode() for x in ODD]) == [len(t.encode(x, add_special_tokens=False).ids) for x in ODD]

@@ -1,7 +1,7 @@
 """Operator 7: token counts, by batch encoding in Arrow functions that return lengths only.
 
-The tokenizer drops white space and no token crosses it, so a text may be cut at any ASCII white space:
-its count is the sum over its pieces.  Texts are cut into such pieces; a batch of about
+Where a tokenizer shows that it drops white space and that no token crosses it (``parts_at_spaces``), a text may be cut at
+any ASCII white space: its count is the sum over its pieces.  With any other whole texts are encoded.  Texts are cut into such pieces; a batch of about
 ``BATCH_BYTES`` of text encodes each distinct unknown piece once and remembers its length.  Memory is bounded
 by the batch and by ``CACHE`` remembered pieces, whatever the texts' lengths.
 """
@@ -25,6 +25,18 @@ LIMIT = 2048
 _SPACE = re.compile(rb"[\x09-\x0D\x20]")
 
 
+#: Texts that show whether a tokenizer's parts between white space can be counted one by one.
+_PROBES = ("word", "Word's", "I'll", "12", "3.5", "...", "(a)", "é", "日本", "<|endoftext|>", "##x", "_", "ﬁ", "\u0301", "🙂", "x" * 70)
+
+
+def parts_at_spaces(encode: Callable[[str], list[int]]) -> bool:
+    """Whether any two probes, with any ASCII white space between, before or behind them, give the tokens of one and of the other."""
+    alone = {p: encode(p) for p in _PROBES}
+    spaces = [chr(c) for c in (*range(9, 14), 32)] + ["  ", " \n", "\r\n"]
+    pairs = all(encode(a + s + b) == alone[a] + alone[b] for a in _PROBES for b in _PROBES for s in spaces)
+    return pairs and all(encode(s) == [] and encode(s + p) == encode(p + s) == alone[p] for p in _PROBES for s in spaces)
+
+
 class Counter:
     """Counts of whole texts under a tokenizer file; special strings in texts as the library's default has them."""
 
@@ -35,6 +47,7 @@ class Counter:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.known: dict[bytes, int] = {}
+        self.parted = parts_at_spaces(lambda x: self.tokenizer.encode(x, add_special_tokens=False).ids)
 
     def encode(self, pieces: list[bytes]) -> list[int]:
         return [len(e) for e in self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
@@ -51,6 +64,8 @@ class Counter:
         return found
 
     def count(self, texts: list[bytes]) -> list[int]:
+        if not self.parted:
+            return self.encode(texts)
         out, waiting, size = [0] * len(texts), [], 0
         for i, text in enumerate(texts):
             for piece in _cut(text):
