@@ -33,14 +33,14 @@ def _shingles(rows: DataFrame, widths: list[int], hashed: bool) -> DataFrame:
     """
     counted = rows.withColumn("size", F.size("words")).where(F.col("size") >= widths[0])
     each = counted.select("doc_id", "words", "size", F.explode(F.sequence(F.lit(0), F.col("size") - widths[0])).alias("at"))
-    found = []
-    for w in widths:
+
+    def own(w: int) -> list[Column]:
         parts = [F.get("words", F.col("at") + i) for i in range(w)]
-        own = F.xxhash64(*parts).alias("h") if hashed else F.concat_ws(" ", *parts).alias("shingle")
-        found.append((F.col("at") + w <= F.col("size"), F.struct(F.lit(w).alias("width"), (F.col("size") - (w - 1)).alias("n"), own)))
+        return [F.lit(w).alias("width"), (F.col("size") - (w - 1)).alias("n"), F.xxhash64(*parts).alias("h") if hashed else F.concat_ws(" ", *parts).alias("shingle")]
+
     if len(widths) == 1:
-        return each.select("doc_id", found[0][1].alias("s")).select("doc_id", "s.*")
-    spread = each.select("doc_id", F.explode(F.array(*(F.when(whole, one) for whole, one in found))).alias("s"))
+        return each.select("doc_id", *own(widths[0]))
+    spread = each.select("doc_id", F.explode(F.array(*(F.when(F.col("at") + w <= F.col("size"), F.struct(*own(w))) for w in widths))).alias("s"))
     return spread.where("s is not null").select("doc_id", "s.*")
 
 
