@@ -36,7 +36,7 @@ def _shingles(rows: DataFrame, widths: list[int], hashed: bool) -> DataFrame:
 
     def own(w: int) -> list[Column]:
         parts = [F.get("words", F.col("at") + i) for i in range(w)]
-        return [F.lit(w).alias("width"), (F.col("size") - (w - 1)).alias("n"), F.xxhash64(*parts).alias("h") if hashed else F.concat_ws(" ", *parts).alias("shingle")]
+        return [F.lit(w).alias("width"), (F.col("size") - (w - 1)).alias("n"), F.xxhash64(F.lit(w), *parts).alias("h") if hashed else F.concat_ws(" ", *parts).alias("shingle")]
 
     if len(widths) == 1:
         return each.select("doc_id", *own(widths[0]))
@@ -63,7 +63,7 @@ def sketches(shingles: DataFrame, width: int, threshold: float) -> DataFrame:
     parts = F.split("shingle", " ")
     upper = F.pow(F.lit(2.0), F.ceil(F.log2(F.col("size").cast("double"))))
     enough = F.floor((1 - F.lit(threshold)) * upper + 1e-9) + 1
-    hashed = shingles.select("item_id", "size", enough.alias("s"), F.xxhash64(*[parts.getItem(i) for i in range(width)]).alias("h"))
+    hashed = shingles.select("item_id", "size", enough.alias("s"), F.xxhash64(F.lit(width), *[parts.getItem(i) for i in range(width)]).alias("h"))
     order = Window.partitionBy("item_id").orderBy("h")
     return hashed.withColumn("at", F.row_number().over(order)).where(F.col("at") <= F.col("s")).select("item_id", "size", "h")
 
@@ -83,10 +83,10 @@ def contained(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, w
         return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, n_shared long, n_shingles long, containment double")
     drawn = None
     for w in widths:
-        own = sketches(shingles.where(F.col("width") == w), w, threshold).withColumn("width", F.lit(w))
+        own = sketches(shingles.where(F.col("width") == w), w, threshold)
         drawn = own if drawn is None else drawn.unionByName(own)
     hashed = _shingles(spelled, widths, hashed=True)
-    met = hashed.join(small_side(materialise(drawn)), ["width", "h"]).where(F.col("n") >= F.ceil(F.col("size") * threshold - 1e-9))
+    met = hashed.join(small_side(materialise(drawn)), "h").where(F.col("n") >= F.ceil(F.col("size") * threshold - 1e-9))
     candidates = materialise(met.select("doc_id", "item_id").distinct())
     near = docs.join(small_side(candidates.select("doc_id").distinct()), "doc_id", "left_semi").select("doc_id", words(F.col("text")).alias("words"))
     own = small_side(shingles.select("item_id", "width", "shingle", "size"))
