@@ -244,3 +244,13 @@ def test_plans(spark):
     assert "TakeOrderedAndProject" in plan("ext_fn_strings") and "WindowGroupLimit" in plan("topk_vector")
     assert "PushedFilters: [IsNotNull(role), EqualTo(role,user)" in plan("join_en_it")
     assert "struct<source:string>" in plan("agg_works_per_author")
+
+
+def test_cap_guard_query_writes_large_sources_as_several_files(spark, tmp_path, monkeypatch):
+    from vellum.plans.catalog import QUERIES
+
+    rows = [(i, s, "x" * 50) for s in ("a", "b/c", None) for i in range(20)]
+    spark.createDataFrame(rows, "doc_id long, source string, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(K, "HARD_CAP", 600)
+    monkeypatch.setattr(K.guard, "__defaults__", (600,))
+    assert {tuple(r) for r in QUERIES["sink_cap_guard"](spark, str(tmp_path)).collect()} == {(s, 20, True) for s in ("a", "b/c", None)}

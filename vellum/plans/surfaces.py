@@ -162,12 +162,12 @@ def sink_pages(spark, sf_dir):
 
 @query("sink_cap_guard", "SELECT source, count(*) AS notes, true AS under FROM documents GROUP BY source")
 def sink_cap_guard(spark, sf_dir):
-    """Whole texts written by source; each source's files, looked through again, are under the cap."""
+    """Whole texts written by source, in as many files as the cap asks for; each source's files, looked through again, are under it."""
     at = scratch(spark)
-    docs(spark, sf_dir).select("source", "doc_id", "text").repartition("source").write.partitionBy("source").json(at)
-    files = K.guard(spark, at).select(F.regexp_extract("path", "source=([^/]+)/", 1).alias("source"), "bytes").where("source <> ''")
-    notes_ = spark.read.schema("source string, doc_id long").json(at).groupBy("source").agg(F.count("*").alias("notes"))
-    return notes_.join(files.groupBy("source").agg(F.every(F.col("bytes") <= K.HARD_CAP).alias("under")), "source")
+    rows = docs(spark, sf_dir).select(F.col("source").alias("tier"), "source", "doc_id", "text")
+    K.write_shards(K.bucketed(rows, "tier", "doc_id", F.struct("source", "doc_id", "text"), K.HARD_CAP // 2), at, "tier")
+    files = spark.read.schema("source string, doc_id long").json(at).select("source", "_metadata.file_size")
+    return files.groupBy("source").agg(F.count("*").alias("notes"), F.every(F.col("file_size") <= K.HARD_CAP).alias("under"))
 
 
 LISTS = "a AS (SELECT doc_id, md5(text) AS v FROM documents WHERE doc_id % 5 <> 0), b AS (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN 'new' ELSE md5(text) END AS v FROM documents WHERE doc_id % 3 <> 0)"
