@@ -254,3 +254,19 @@ def test_cap_guard_query_writes_large_sources_as_several_files(spark, tmp_path,
     monkeypatch.setattr(K, "HARD_CAP", 600)
     monkeypatch.setattr(K.guard, "__defaults__", (600,))
     assert {tuple(r) for r in QUERIES["sink_cap_guard"](spark, str(tmp_path)).collect()} == {(s, 20, True) for s in ("a", "b/c", None)}
+
+
+def test_link_resolution_of_rows_that_come_in_another_order_each_time(spark):
+    def shuffled(batches):
+        import random
+
+        for pdf in batches:
+            order = list(range(len(pdf)))
+            random.SystemRandom().shuffle(order)
+            yield pdf.iloc[order]
+
+    names = [f"n{i}" for i in range(200)]
+    notes = spark.createDataFrame([(f"concepts/{n}", 1, None) for n in names], "slug string, weight int, author string")
+    links = spark.createDataFrame([(n, None, None) for n in names], "target string, alias string, author string").coalesce(1)
+    links = links.mapInPandas(shuffled, links.schema)
+    assert {(r.target, r.slug) for r in L.resolve_links(links, notes, ["concepts"]).collect()} == {(n, f"concepts/{n}") for n in names}

@@ -37,7 +37,7 @@ def resolve_links(links: DataFrame, notes: DataFrame, folders: list[str]) -> Dat
     ``notes``: (slug, weight, author).
     """
     sluggish = F.lower(F.regexp_replace(F.trim("target"), r"\s+", "-"))
-    asked = links.withColumn("_t", sluggish).withColumn("_id", F.monotonically_increasing_id())
+    asked = written(links.withColumn("_t", sluggish).withColumn("_id", F.monotonically_increasing_id()))  # read twice, so ids must stay
     folder = F.split_part("slug", F.lit("/"), F.lit(1))
     place = F.array_position(F.array(*map(F.lit, folders)), folder)
     known = notes.select("slug", F.col("author").alias("note_author"), "weight", F.element_at(F.split("slug", "/"), -1).alias("base"), F.when(place > 0, place).otherwise(len(folders) + 1).alias("place"))
