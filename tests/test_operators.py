@@ -270,3 +270,18 @@ def test_link_resolution_of_rows_that_come_in_another_order_each_time(spark):
     links = spark.createDataFrame([(n, None, None) for n in names], "target string, alias string, author string").coalesce(1)
     links = links.mapInPandas(shuffled, links.schema)
     assert {(r.target, r.slug) for r in L.resolve_links(links, notes, ["concepts"]).collect()} == {(n, f"concepts/{n}") for n in names}
+
+
+def test_pair_stream_sorts_a_key_whose_rows_come_in_several_batches(spark, tmp_path):
+    kinds = ["start", "done", None, "fail", "start", "start", "done"]
+    rows = spark.createDataFrame([(1, i, kinds[i % 7]) for i in range(700)], "u long, at long, kind string")
+    want = {tuple(r) for r in I.pair_events(rows, "u", "at", "start", "done|fail", "kind").collect()}
+    rows.orderBy(F.xxhash64("at")).coalesce(1).write.parquet(str(tmp_path / "in"))
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 50)
+    try:
+        stream = I.pair_stream(spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in")), "u", "start")
+        I.run_available(stream, lambda b, e: b.write.mode("append").parquet(str(tmp_path / "out")), str(tmp_path / "s"))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    assert {tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect()} == want and len(want) == 200

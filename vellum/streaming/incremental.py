@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -146,18 +147,29 @@ def pair_events(rows: DataFrame, key: str, order: str, starts: str, ends: str, k
 
 
 def pair_stream(stream: DataFrame, key: str, starts: str) -> DataFrame:
-    """The same on a stream of (key, at, kind): the open start is the state, kept by key."""
+    """The same on a stream of (key, at, kind): the open start is the state, kept by key.
+
+    A key's rows come in several batches and in no order; they are sorted as a whole, as numbers: the time and a code for the kind.
+    """
 
     def step(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         begun = state.get[0] if state.exists else None
+        codes: dict[str, int] = {starts: 0}
+        times, kinds = [], []
         for pdf in batches:
-            out = []
-            for at, kind in pdf.sort_values("at")[["at", "kind"]].itertuples(index=False):
-                if kind == starts:
-                    begun = int(at)
-                elif begun is not None:
-                    out.append((group[0], begun, int(at), kind))
-                    begun = None
+            pdf = pdf[pdf["kind"].notna() & pdf["at"].notna()]
+            times.append(pdf["at"].to_numpy(np.int64))
+            kinds.append(np.fromiter((codes.setdefault(k, len(codes)) for k in pdf["kind"]), np.int32, len(pdf)))
+        at, kind = np.concatenate(times), np.concatenate(kinds)
+        order = np.argsort(at, kind="stable")
+        names, out = list(codes), []
+        for when, code in zip(at[order].tolist(), kind[order].tolist(), strict=True):
+            if code == 0:
+                begun = when
+            elif begun is not None:
+                out.append((group[0], begun, when, names[code]))
+                begun = None
+        if out:
             yield pd.DataFrame(out, columns=[key, "started", "ended", "outcome"])
         if begun is None:
             if state.exists:
